@@ -1,3 +1,3 @@
 """Imports every catalog module so that its queries are registered."""
 
-from catalog import text_queries  # noqa: F401
+from catalog import feature_queries, profile_queries, row_queries, text_queries  # noqa: F401

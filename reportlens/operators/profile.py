@@ -170,8 +170,12 @@ def histogram(df: DataFrame, col: str, bins: int | None = None, edges=None, lo=N
         lo, hi = span["lo"] if lo is None else lo, span["hi"] if hi is None else hi
     lo, hi = (x if not isinstance(x, (int, float)) else F.lit(float(x)) for x in (lo, hi))
     with_range = long.select(*keys, "value", lo.alias("_lo"), hi.alias("_hi"))
-    raw = F.floor((F.col("value") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * bins)
-    bin_no = F.when(F.col("value") == F.col("_hi"), bins - 1).otherwise(F.coalesce(raw, F.lit(0))).cast("int")
+    width_col = (F.col("_hi") - F.col("_lo")) / bins
+    raw = F.coalesce(F.floor((F.col("value") - F.col("_lo")) / F.nullif(width_col, F.lit(0.0))), F.lit(0))
+    # The division may round across an edge, so the bin is checked against both.
+    low_edge, high_edge = F.col("_lo") + width_col * raw, F.col("_lo") + width_col * (raw + 1)
+    fixed = F.when(F.col("value") < low_edge, raw - 1).when(F.col("value") >= high_edge, raw + 1).otherwise(raw)
+    bin_no = F.when(F.col("value") == F.col("_hi"), bins - 1).otherwise(F.least(F.greatest(fixed, F.lit(0)), F.lit(bins - 1))).cast("int")
     inside = F.col("value").between(F.col("_lo"), F.col("_hi"))
     counted = with_range.filter(inside).groupBy(*keys, bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # Every bin of every group gets a zero row from a constant array.

@@ -303,8 +303,8 @@ _LAB = f"WITH {CLINICAL_SQL}, lab AS (SELECT uid, string_split({all_cats_sql('lo
 
 
 def labelled(spark, sf):
-    return clinical_reports(spark, sf).select(
-        "uid", tx.all_categories(tx.lowered("mesh_major"), lx.EN_LABEL_CATEGORIES).alias("labels"))
+    return clinical_reports(spark, sf).withColumn("low_m", tx.lowered("mesh_major")).select(
+        "uid", tx.all_categories("low_m", lx.EN_LABEL_CATEGORIES).alias("labels"))
 
 
 def _in(l):

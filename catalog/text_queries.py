@@ -127,7 +127,8 @@ def _reports(name: str, spark_cols, sql_cols: dict):
     @query(name, f"WITH {REPORTS_SQL} SELECT uid, {items} FROM reports")
     def _(spark, sf):
         cols = spark_cols()
-        return reports(spark, sf).select("uid", *[cols[n].alias(n) for n in sql_cols])
+        d = reports(spark, sf).withColumns({"low_f": tx.lowered("findings"), "low_i": tx.lowered("impression")})
+        return d.select("uid", *[cols[n].alias(n) for n in sql_cols])
 
 
 def _clinical(name: str, spark_cols, sql_cols: dict):
@@ -136,7 +137,7 @@ def _clinical(name: str, spark_cols, sql_cols: dict):
     @query(name, f"WITH {CLINICAL_SQL} SELECT uid, {items} FROM clinical")
     def _(spark, sf):
         cols = spark_cols()
-        return clinical_reports(spark, sf).select("uid", *[cols[n].alias(n) for n in sql_cols])
+        return clinical_reports(spark, sf).withColumn("low_m", tx.lowered("mesh_major")).select("uid", *[cols[n].alias(n) for n in sql_cols])
 
 
 def _secondary(name: str, spark_cols, sql_cols: dict):
@@ -191,22 +192,22 @@ _reports("txt_n_raw_tokens", lambda: {"raw": F.md5(F.array_join(tx.tokens("impre
 _clinical("txt_o_has_placeholder", lambda: {"flag": tx.has_placeholder("findings") | tx.has_placeholder("impression")},
           {"flag": "contains(upper(findings), 'XXXX') OR contains(upper(impression), 'XXXX')"})
 _LOW = "lower(impression)"
-_reports("txt_p_term_hits", lambda: {"hits": tx.term_hits(tx.lowered("impression"), TERMS)}, {"hits": hits_sql(_LOW, TERMS)})
-_reports("txt_q_term_occurrences", lambda: {"n": tx.term_occurrences(tx.lowered("impression"), TERMS)}, {"n": occ_sql(_LOW, TERMS)})
-_reports("txt_r_has_any", lambda: {"flag": tx.has_any(tx.lowered("impression"), ["sch", "ations"])}, {"flag": any_sql(_LOW, ["sch", "ations"])})
-_reports("txt_s_term_weights", lambda: {"w_max": tx.term_weight_max(tx.lowered("impression"), WEIGHTS),
-                                        "w_sum": tx.term_weight_sum(tx.lowered("impression"), WEIGHTS)},
+_reports("txt_p_term_hits", lambda: {"hits": tx.term_hits("low_i", TERMS)}, {"hits": hits_sql(_LOW, TERMS)})
+_reports("txt_q_term_occurrences", lambda: {"n": tx.term_occurrences("low_i", TERMS)}, {"n": occ_sql(_LOW, TERMS)})
+_reports("txt_r_has_any", lambda: {"flag": tx.has_any("low_i", ["sch", "ations"])}, {"flag": any_sql(_LOW, ["sch", "ations"])})
+_reports("txt_s_term_weights", lambda: {"w_max": tx.term_weight_max("low_i", WEIGHTS),
+                                        "w_sum": tx.term_weight_sum("low_i", WEIGHTS)},
          {"w_max": wmax_sql(_LOW, WEIGHTS), "w_sum": wsum_sql(_LOW, WEIGHTS)})
-_reports("txt_t_first_category", lambda: {"category": tx.first_category(tx.lowered("findings"), CATEGORIES)},
+_reports("txt_t_first_category", lambda: {"category": tx.first_category("low_f", CATEGORIES)},
          {"category": first_cat_sql("lower(findings)", CATEGORIES)})
-_reports("txt_u_category_count", lambda: {"n": tx.category_count(tx.lowered("findings"), CATEGORIES)},
+_reports("txt_u_category_count", lambda: {"n": tx.category_count("low_f", CATEGORIES)},
          {"n": cat_count_sql("lower(findings)", CATEGORIES)})
-_clinical("txt_v_all_categories", lambda: {"labels": tx.join_labels(tx.all_categories(tx.lowered("mesh_major"), lx.EN_LABEL_CATEGORIES))},
+_clinical("txt_v_all_categories", lambda: {"labels": tx.join_labels(tx.all_categories("low_m", lx.EN_LABEL_CATEGORIES))},
           {"labels": all_cats_sql("lower(mesh_major)", lx.EN_LABEL_CATEGORIES)})
 _clinical("txt_x_is_normal", lambda: {"flag": tx.is_normal("mesh_major")},
           {"flag": "contains(lower(mesh_major), 'normal') AND NOT contains(mesh_major, '|')"})
 _clinical("txt_y_bucket_classes",
-          lambda: {"bucket": tx.bucket_classes(tx.first_category(tx.lowered("mesh_major"), lx.EN_CATEGORIES), lx.MAIN_CLASSES)},
+          lambda: {"bucket": tx.bucket_classes(tx.first_category("low_m", lx.EN_CATEGORIES), lx.MAIN_CLASSES)},
           {"bucket": f"CASE WHEN {first_cat_sql('lower(mesh_major)', lx.EN_CATEGORIES)} IN ({', '.join(quote(c) for c in lx.MAIN_CLASSES)}) "
                      f"THEN {first_cat_sql('lower(mesh_major)', lx.EN_CATEGORIES)} ELSE 'Other' END"})
 _DOT = f"list_filter(list_transform(string_split(impression, '.'), lambda s: {strip_sql('s')}), lambda s: s <> '')"
@@ -232,6 +233,6 @@ def _(spark, sf):
            f'AS "has_{c}"' for c in lx.MAIN_LABELS) + " FROM clinical")
 def _(spark, sf):
     from reportlens.operators.rows import label_flags
-    df = clinical_reports(spark, sf).select(
-        "uid", tx.all_categories(tx.lowered("mesh_major"), lx.EN_LABEL_CATEGORIES).alias("labels"))
+    df = clinical_reports(spark, sf).withColumn("low_m", tx.lowered("mesh_major")).select(
+        "uid", tx.all_categories("low_m", lx.EN_LABEL_CATEGORIES).alias("labels"))
     return label_flags(df, "labels", lx.MAIN_LABELS).drop("labels")

@@ -174,60 +174,74 @@ def tokens(c, lang: str = "en", stop=None, min_len: int = 3) -> Column:
 
 
 # ------------------------------------------------------- lexicon matching
+#
+# These take the *name* of a column of lower-cased text. A lexicon of dozens of
+# terms becomes one SQL expression, parsed once, instead of hundreds of Column
+# objects; the text column is bound once by the projection that makes it.
 
 def lowered(c) -> Column:
     return F.lower(_text(c))
 
 
-def term_hits(low, terms) -> Column:
-    """How many of the terms occur (as substrings) in the lower-cased text."""
-    return total([F.contains(_col(low), F.lit(t)).cast("int") for t in terms])
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def occurrences(low, term: str) -> Column:
+def _has(low: str, term: str) -> str:
+    return f"contains(`{low}`, {_lit(term)})"
+
+
+def _any(low: str, terms) -> str:
+    return "(" + " OR ".join(_has(low, t) for t in terms) + ")"
+
+
+def _occurrences(low: str, term: str) -> str:
+    return f"((length(`{low}`) - length(replace(`{low}`, {_lit(term)}, ''))) div {len(term)})"
+
+
+def term_hits(low: str, terms) -> Column:
+    """How many of the terms occur, as substrings."""
+    return F.expr(" + ".join(f"int({_has(low, t)})" for t in terms))
+
+
+def occurrences(low: str, term: str) -> Column:
     """Non-overlapping occurrences of one term."""
-    c = _col(low)
-    gap = F.length(c) - F.length(F.replace(c, F.lit(term), F.lit("")))
-    return (gap / len(term)).cast("int")
+    return F.expr(f"int({_occurrences(low, term)})")
 
 
-def term_occurrences(low, terms) -> Column:
-    return total([occurrences(low, t) for t in terms])
+def term_occurrences(low: str, terms) -> Column:
+    return F.expr("int(" + " + ".join(_occurrences(low, t) for t in terms) + ")")
 
 
-def has_any(low, terms) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(_col(low), F.lit(t)) for t in terms])
+def has_any(low: str, terms) -> Column:
+    return F.expr(_any(low, terms))
 
 
-def term_weight_max(low, weights: dict) -> Column:
+def term_weight_max(low: str, weights: dict) -> Column:
     """Largest weight among the matching terms, 0 if none matches."""
-    levels = sorted(set(weights.values()), reverse=True)
-    out = F.lit(0)
-    for level in reversed(levels):
-        out = F.when(has_any(low, [t for t, w in weights.items() if w == level]), level).otherwise(out)
-    return out
+    arms = [f"WHEN {_any(low, [t for t, w in weights.items() if w == level])} THEN {level}"
+            for level in sorted(set(weights.values()), reverse=True)]
+    return F.expr(f"CASE {' '.join(arms)} ELSE 0 END")
 
 
-def term_weight_sum(low, weights: dict) -> Column:
-    return total([F.contains(_col(low), F.lit(t)).cast("int") * w for t, w in weights.items()])
+def term_weight_sum(low: str, weights: dict) -> Column:
+    return F.expr(" + ".join(f"int({_has(low, t)}) * {w}" for t, w in weights.items()))
 
 
-def first_category(low, categories: dict, default: str = "Other") -> Column:
+def first_category(low: str, categories: dict, default: str = "Other") -> Column:
     """First category, in the order given, with a matching keyword."""
-    out = F.lit(default)
-    for name in reversed(list(categories)):
-        out = F.when(has_any(low, categories[name]), F.lit(name)).otherwise(out)
-    return out
+    arms = " ".join(f"WHEN {_any(low, kws)} THEN {_lit(name)}" for name, kws in categories.items())
+    return F.expr(f"CASE {arms} ELSE {_lit(default)} END")
 
 
-def category_count(low, categories: dict) -> Column:
-    return total([has_any(low, kws).cast("int") for kws in categories.values()])
+def category_count(low: str, categories: dict) -> Column:
+    return F.expr(" + ".join(f"int({_any(low, kws)})" for kws in categories.values()))
 
 
-def all_categories(low, categories: dict) -> Column:
+def all_categories(low: str, categories: dict) -> Column:
     """Array of every matching category in list order (empty if none)."""
-    marks = [F.when(has_any(low, kws), F.lit(name)) for name, kws in categories.items()]
-    return F.filter(F.array(*marks), lambda x: x.isNotNull())
+    marks = ", ".join(f"CASE WHEN {_any(low, kws)} THEN {_lit(name)} END" for name, kws in categories.items())
+    return F.expr(f"array_compact(array({marks}))")
 
 
 def join_labels(labels, default: str = "Other") -> Column:

@@ -21,7 +21,7 @@ CONFIDENCE_WEIGHTS = {"diagnostic": 0.4, "no_hedges": 0.3, "entities": 0.3}
 COMPLEXITY_WEIGHT = 0.25
 
 
-def sentiment(low, lexicon) -> Column:
+def sentiment(low: str, lexicon) -> Column:
     """Share of negative terms among all matched polar terms, 0.5 if none."""
     pos, neg = tx.term_hits(low, lexicon["positive"]), tx.term_hits(low, lexicon["negative"])
     return F.when(pos + neg > 0, neg / (pos + neg)).otherwise(F.lit(0.5))
@@ -60,8 +60,10 @@ def row_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
         "_fw": tx.word_count("findings_clean"),
         "_syl": syllables("_low", lexicon["vowels"]),
     })
+    if not fr:
+        d = d.withColumn("_labels", tx.lowered("mesh_major"))
     words = F.greatest(F.col("F06_word_count"), F.lit(1))
-    labels = "_low" if fr else F.lower(F.coalesce(F.col("mesh_major"), F.lit("")))
+    labels = "_low" if fr else "_labels"
     passive = tx.term_occurrences("_low", lexicon["passive"]) / words
     few = F.col("F06_word_count") < lexicon["passive_min_words"]
     cols = {
@@ -92,7 +94,7 @@ def row_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
     last = {"F12_is_multilabel": (F.col("F12_multi_label_count") > 1).cast("int")}
     if not fr:
         last["F25_is_abnormal"] = (F.col("F11_primary_pathology") != "Normal").cast("int")
-    return d.withColumns(last).drop("_low", "_fw", "_syl")
+    return d.withColumns(last).drop("_low", "_labels", "_fw", "_syl")
 
 
 def age_feature(df: DataFrame, default: float = 50.0) -> DataFrame:
@@ -111,9 +113,10 @@ def composite_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
                            F.max(F.abs("F13_flesch_kincaid")).alias("fk")).alias("m")).scalar()
 
     def share(c):
-        return F.col(c) / F.when(best[c] > 0, best[c]).otherwise(1)
+        top = F.col(f"_best.{c}")
+        return F.col(c) / F.when(top > 0, top).otherwise(1)
     s, c = SEVERITY_WEIGHTS, CONFIDENCE_WEIGHTS
-    return df.withColumns({
+    return df.withColumn("_best", best).withColumns({
         "F22_composite_severity": s["severity"] * share("F03_severity_score")
         + s["sentiment"] * F.col("F01_clinical_sentiment")
         + s["entities"] * share("F02_clinical_entity_count")
@@ -121,9 +124,9 @@ def composite_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
         "F23_pathology_confidence": c["diagnostic"] * F.col("F04_diagnostic_term_freq")
         + c["no_hedges"] * (1 - share("F16_hedge_count")) + c["entities"] * share("F02_clinical_entity_count"),
         "F24_report_complexity": COMPLEXITY_WEIGHT * (
-            share("F06_word_count") + F.col("F13_flesch_kincaid") / F.greatest(best["fk"], F.lit(1.0))
+            share("F06_word_count") + F.col("F13_flesch_kincaid") / F.greatest(F.col("_best.fk"), F.lit(1.0))
             + share("F15_numerical_count") + share("F07_sentence_count")),
-    })
+    }).drop("_best")
 
 
 def engineer_features(df: DataFrame, lexicon: dict = lx.EN, stage: str | None = None) -> DataFrame:

@@ -134,8 +134,9 @@ def flag_outliers(df: DataFrame, cols, k: float = 1.5) -> DataFrame:
     fences = b.agg(*[F.struct(F.max(F.when(F.col("metric") == c, F.col("lower"))).alias("lo"),
                               F.max(F.when(F.col("metric") == c, F.col("upper"))).alias("hi")).alias(c) for c in cols])
     row = fences.select(F.struct(*cols)).scalar()
-    return df.withColumns({
-        f"{c}_outlier": F.coalesce((F.col(c) < row[c]["lo"]) | (F.col(c) > row[c]["hi"]), F.lit(False)) for c in cols})
+    return df.withColumn("_fences", row).withColumns({
+        f"{c}_outlier": F.coalesce((F.col(c) < F.col(f"_fences.{c}.lo")) | (F.col(c) > F.col(f"_fences.{c}.hi")), F.lit(False))
+        for c in cols}).drop("_fences")
 
 
 def box_stats(df: DataFrame, by: str, col: str, positive_only: bool = False) -> DataFrame:
@@ -377,7 +378,7 @@ def labels_per_record(df: DataFrame, labels: str) -> DataFrame:
     share = size.agg(F.struct(*[(F.count_if(F.col("num_labels") >= k) / F.count(F.lit(1)) * 100).alias(f"ge{k}")
                                 for k in (1, 2, 3)])).scalar()
     out = size.groupBy("num_labels").agg(F.count(F.lit(1)).alias("n"))
-    return out.withColumns({f"pct_ge{k}": share[f"ge{k}"] for k in (1, 2, 3)})
+    return out.withColumn("_s", share).withColumns({f"pct_ge{k}": F.col(f"_s.ge{k}") for k in (1, 2, 3)}).drop("_s")
 
 
 # ---------------------------------------------------------------- overviews

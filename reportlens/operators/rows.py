@@ -158,4 +158,4 @@ def with_global_max(df: DataFrame, cols, prefix: str = "max_") -> DataFrame:
     """Column maxima beside every row. The maxima come from one scalar
     subquery, so no row is moved to attach them."""
     best = df.agg(F.struct(*[F.max(c).alias(c) for c in cols]).alias("m")).scalar()
-    return df.withColumns({prefix + c: best[c] for c in cols})
+    return df.withColumn("_best", best).withColumns({prefix + c: F.col(f"_best.{c}") for c in cols}).drop("_best")

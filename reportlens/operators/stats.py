@@ -18,8 +18,8 @@ def quantile_bucket(df: DataFrame, col: str, labels, out: str = "bucket") -> Dat
     edges = ordered.quantiles(df, [col], probs).select(F.struct(*[f"q_{i}" for i in range(k - 1)])).scalar()
     bucket = F.lit(labels[-1])
     for i in reversed(range(k - 1)):
-        bucket = F.when(F.col(col) <= edges[f"q_{i}"], F.lit(labels[i])).otherwise(bucket)
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), bucket))
+        bucket = F.when(F.col(col) <= F.col(f"_edges.q_{i}"), F.lit(labels[i])).otherwise(bucket)
+    return df.withColumn("_edges", edges).withColumn(out, F.when(F.col(col).isNotNull(), bucket)).drop("_edges")
 
 
 def kolmogorov_p(statistic: Column, n_effective: Column) -> Column:

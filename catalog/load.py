@@ -1,3 +1,4 @@
 """Imports every catalog module so that its queries are registered."""
 
-from catalog import feature_queries, profile_queries, row_queries, text_queries  # noqa: F401
+from catalog import (cleaning_queries, corpus_queries, feature_queries, profile_queries, row_queries,  # noqa: F401
+                     text_queries)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reportlens.operators import ordered
 
@@ -61,7 +61,7 @@ def normality(df: DataFrame, cols, alpha: float = 0.05) -> DataFrame:
     return out.withColumn("is_normal", F.col("p_value") > alpha).drop("_s", "_k")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)) if x == x else float("nan"))
 

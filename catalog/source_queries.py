@@ -15,14 +15,13 @@ from catalog.text_queries import quote, strip_sql, tokens_sql
 from reportlens.functions import lexicons as lx, text as tx
 from reportlens.operators import compare, models, profile, rows
 from reportlens.plans import reports as plans
-from reportlens.session import cut_lineage, spread
+from reportlens.session import shared_folder, spread
 from reportlens.sources import readers, writers
 
 
 def scratch(spark, name: str) -> str:
     """A fresh path under the shared folder the session names."""
-    cut_lineage(spark.range(1))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --------------------------------------------------------------------- XML

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +23,11 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it from there.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    single-machine session without that setting gets a temporary folder.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session: the one ``spark.checkpoint.dir``
+    names. Only a single-machine session without that setting gets a temporary
+    folder."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -36,7 +35,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="reportlens-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table to the shared checkpoint folder and read it back.
+
+    Unlike ``checkpoint()`` this computes the last stage once, and readers can
+    pick columns. Lost executors only re-read the table.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

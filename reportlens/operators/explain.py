@@ -89,7 +89,7 @@ def shapley_sample(model, df: DataFrame, cols, orders: int = 4, seed: int = 42,
             steps.append(f"struct({o} AS o, {step} AS step, {order[step - 1] if step else -1} AS f, array({v}) AS v)")
     rows = paired.selectExpr(key, f"inline(array({', '.join(steps)}))").withColumn("features", array_to_vector("v"))
     scored = model.transform(rows).select(key, "o", "step", "f", vector_to_array("probability")[positive].alias("p"))
-    walk = scored.groupBy(key, "o").agg(F.array_sort(F.collect_list(F.struct("step", "f", "p"))).alias("w"))
+    walk = scored.groupBy(key, "o").agg(F.sort_array(F.collect_list(F.struct("step", "f", "p"))).alias("w"))
     # n + 1 entries per row and order: the list is bounded by the feature count.
     deltas = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(
         F.element_at("w", i + 1)["f"].alias("f"), (F.element_at("w", i + 1)["p"] - F.element_at("w", i)["p"]).alias("d")))

@@ -51,7 +51,7 @@ def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=Non
     scored = dots.withColumn("_cn", F.sqrt(F.sum("dot").over(doc))).select(
         key, "pos", F.when((F.col("norm") > 0) & (F.col("_cn") > 0), F.round(F.col("dot") / (F.col("norm") * F.col("_cn")), 9)).alias("score"))
     ranked = top_k_in_record(sents.join(scored, [key, "pos"], "left").fillna(0.0, subset=["score"]), key, "score", "pos", k)
-    chosen = ranked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("s"))
+    chosen = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("s"))
     joined = chosen.select(key, F.concat(F.array_join(F.transform("s", lambda x: x["sentence"]), ". "), F.lit(".")).alias("summary"))
     return df.select(key).join(joined, key, "left").fillna("", subset=["summary"])
 

@@ -54,7 +54,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A table of one small file is read by one task; row-wise text work on it
     would use one core. Inputs with enough splits are returned unchanged, so a
-    large table never pays for this shuffle.
+    large table never pays for this shuffle. Meant for a plain scan: asking a
+    plan with shuffles for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,14 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.feature_queries import EN_FEATURES_SQL, FR_FEATURES_SQL, en_features, fr_features
+from catalog.cleaning_queries import _PIP1, _PIP3
+from catalog.feature_queries import EN_FEATURES_SQL, en_features, feature_cte, fr_features
 from catalog.inputs import (CLINICAL_SQL, REPORTS_SQL, SECONDARY_SQL, clinical_reports, reports, secondary_reports, table,
                             wc)
 from catalog.profile_queries import rounded
 from catalog.registry import query
-from catalog.text_queries import quote, strip_sql, tokens_sql
+from catalog.text_queries import age_sql, norm_en_sql, norm_fr_sql, strip_sql, tokens_sql
 from reportlens.functions import lexicons as lx, text as tx
-from reportlens.operators import compare, models, profile, rows
+from reportlens.operators import compare, models, rows
 from reportlens.plans import reports as plans
 from reportlens.session import shared_folder, spread
 from reportlens.sources import readers, writers
@@ -223,7 +224,15 @@ def _(spark, sf):
                                     exclude=(), text="findings_clean", dataset="secondary"))
 
 
-@query("pip9_run_sources")
+_P9_EN = feature_cte(lx.EN, f"{_PIP1}, cleaned AS (SELECT uid, '' AS condition, mesh_major, {norm_en_sql('findings')} AS findings_clean, {norm_en_sql('impression')} AS impression_clean FROM s3)")
+_P9_FR = feature_cte(lx.FR, f"{_PIP3}, cleaned AS (SELECT ExamID AS uid, condition, {age_sql('PatientAge', 'leading')} AS patient_age, NULL AS patient_gender, "
+                            f"{norm_fr_sql('Findings')} AS findings_clean, {norm_fr_sql('Impression')} AS impression_clean FROM s3)")
+_P9 = " UNION ALL ".join(
+    f"SELECT * FROM (WITH {cte} SELECT '{name}' AS source, CAST(uid AS VARCHAR) AS uid, F06_word_count, round(F13_flesch_kincaid::DOUBLE, 6) AS F13_flesch_kincaid FROM feats)"
+    for name, cte in (("primary", _P9_EN), ("secondary", _P9_FR)))
+
+
+@query("pip9_run_sources", _P9)
 def _(spark, sf):
     out = plans.run_sources({"primary": clinical_reports(spark, sf), "secondary": secondary_reports(spark, sf)}, "both",
                             {"primary": "uid", "secondary": "seq"})

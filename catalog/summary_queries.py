@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import REPORTS_SQL, reports, table
 from catalog.profile_queries import rounded
-from catalog.registry import query
+from catalog.registry import ORACLE, query
 from catalog.text_queries import strip_sql
 from reportlens.operators import summaries
 
@@ -102,7 +102,11 @@ def _(spark, sf):
     return p.select("model", "uid", "reference", "prediction")
 
 
-@query("udf2_user_summariser")
+_FIRST = "SELECT 'first_words' AS model, uid, findings AS ref, array_to_string(regexp_extract_all(impression, '\\S+')[1:20], ' ') AS pred FROM reports WHERE findings <> '' AND impression <> ''"
+
+
+@query("udf2_user_summariser", ORACLE["sum5_evaluate_summaries"].replace(_LEADS, _FIRST))
 def _(spark, sf):
     first_words = summaries.as_summariser(lambda t: " ".join(t.split()[:20]))
-    return rounded(summaries.evaluate_summaries(reports(spark, sf), "uid", "impression", "findings", {"first_words": first_words}))
+    s = summaries.evaluate_summaries(reports(spark, sf), "uid", "impression", "findings", {"first_words": first_words})
+    return rounded(s.drop("rougeL_p", "rougeL_r", "rougeL_f"))

@@ -54,12 +54,13 @@ def row_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
     text = tx.combine_text("findings_clean", "impression_clean", strip_edges=lexicon.get("strip_text", False))
     d = df.withColumn("text", text).withColumn("_low", F.lower("text"))
     d = d.withColumns({
-        "F06_word_count": tx.word_count("text"),
         "F07_sentence_count": tx.sentence_count("text", lexicon["lang"]),
         "F05_impression_length": tx.word_count("impression_clean"),
         "_fw": tx.word_count("findings_clean"),
         "_syl": syllables("_low", lexicon["vowels"]),
     })
+    # The sections are joined by a blank, so their words add up.
+    d = d.withColumn("F06_word_count", F.col("_fw") + F.col("F05_impression_length"))
     if not fr:
         d = d.withColumn("_labels", tx.lowered("mesh_major"))
     words = F.greatest(F.col("F06_word_count"), F.lit(1))

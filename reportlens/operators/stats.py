@@ -61,9 +61,13 @@ def normality(df: DataFrame, cols, alpha: float = 0.05) -> DataFrame:
     return out.withColumn("is_normal", F.col("p_value") > alpha).drop("_s", "_k")
 
 
-@F.pandas_udf(T.DoubleType())
-def _two_sided_p(z: pd.Series) -> pd.Series:
-    return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)) if x == x else float("nan"))
+def _two_sided_p():
+    """Arrow function over the few result rows; built inside a function so that
+    it travels to the executors by value."""
+    @F.pandas_udf(T.DoubleType())
+    def p(z: pd.Series) -> pd.Series:
+        return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)) if x == x else float("nan"))
+    return p
 
 
 def mann_whitney(df: DataFrame, cols, side: Column) -> DataFrame:
@@ -83,4 +87,4 @@ def mann_whitney(df: DataFrame, cols, side: Column) -> DataFrame:
     out = out.withColumn("u", F.col("_rank_sum") - n1 * (n1 + 1) / 2)
     sigma = F.sqrt(n1 * n2 / 12.0 * ((total + 1) - F.col("_ties") / (total * (total - 1))))
     out = out.withColumn("z", (F.col("u") - n1 * n2 / 2.0) / sigma)
-    return out.select("metric", "n1", "n2", "u", "z", _two_sided_p("z").alias("p_value"))
+    return out.select("metric", "n1", "n2", "u", "z", _two_sided_p()("z").alias("p_value"))

@@ -101,27 +101,31 @@ def rouge_n(df: DataFrame, key, ref: str, pred: str, n: int = 1, unicode: bool =
     return one.select(*keys, *_scores(F.col("o"), F.col("na"), F.col("nb"), f"rouge{n}"))
 
 
-@F.pandas_udf(T.IntegerType())
-def _lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Longest common subsequence of two token arrays, one bit per token."""
-    def length(x, y):
-        x, y = list(x), list(y)
-        places: dict = {}
-        for i, w in enumerate(x):
-            places[w] = places.get(w, 0) | (1 << i)
-        full = (1 << len(x)) - 1
-        state = full
-        for w in y:
-            hit = state & places.get(w, 0)
-            state = ((state + hit) | (state - hit)) & full
-        return len(x) - state.bit_count()
-    return pd.Series([length(x, y) for x, y in zip(a, b)])
+def _lcs_length():
+    """Arrow function: longest common subsequence of two token arrays, one bit
+    per token. Defined inside a function so that it travels to the executors by
+    value."""
+    @F.pandas_udf(T.IntegerType())
+    def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
+        def length(x, y):
+            x, y = list(x), list(y)
+            places: dict = {}
+            for i, w in enumerate(x):
+                places[w] = places.get(w, 0) | (1 << i)
+            full = (1 << len(x)) - 1
+            state = full
+            for w in y:
+                hit = state & places.get(w, 0)
+                state = ((state + hit) | (state - hit)) & full
+            return len(x) - state.bit_count()
+        return pd.Series([length(x, y) for x, y in zip(a, b)])
+    return lcs
 
 
 def rouge_l(df: DataFrame, key, ref: str, pred: str, unicode: bool = False) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     t = df.select(*keys, rouge_tokens(ref, unicode).alias("a"), rouge_tokens(pred, unicode).alias("b"))
-    t = t.withColumn("o", _lcs_length("a", "b"))
+    t = t.withColumn("o", _lcs_length()("a", "b"))
     return t.select(*keys, *_scores(F.col("o"), F.size("a"), F.size("b"), "rougeL"))
 
 

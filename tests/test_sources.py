@@ -5,7 +5,7 @@ import pytest
 from reportlens.operators import models
 from reportlens.sources import readers, writers
 
-XML = """<r><a><uId id="CXR1"/></a><Abstract>
+XML = """<r><a><uId id="R1"/></a><Abstract>
 <AbstractText Label="FINDINGS"> first </AbstractText><AbstractText Label="FINDINGS">second &amp; last <b>bold</b> tail</AbstractText>
 <AbstractText Label="IMPRESSION">old</AbstractText><AbstractText Label="IMPRESSION"/>
 </Abstract><MeSH><major> normal </major><major>x/y</major></MeSH><parentImage id="i1"/><deep><parentImage id="i2"/></deep></r>"""
@@ -19,7 +19,7 @@ def test_xml_reports(spark, tmp_path):
     got = {r["filename"]: r for r in readers.scan_xml_reports(spark, str(tmp_path)).collect()}
     assert set(got) == {"1.xml", "3.xml"}
     a, c = got["1.xml"], got["3.xml"]
-    assert (a["uid"], a["pmc_id"], a["findings"], a["impression"], a["indication"]) == ("CXR1", None, "second & last", "", "")
+    assert (a["uid"], a["pmc_id"], a["findings"], a["impression"], a["indication"]) == ("R1", None, "second & last", "", "")
     assert (a["mesh_major"], a["mesh_minor"], a["num_images"], a["image_ids"]) == ("normal|x/y", "", 2, "i1|i2")
     assert (c["uid"], c["pmc_id"], c["findings"], c["num_images"], c["image_ids"]) == (None, "7", "", 0, "")
     bad = readers.quarantine(readers.scan_xml_reports(spark, str(tmp_path), keep_malformed=True)).collect()

@@ -12,6 +12,7 @@ from catalog.text_queries import (age_sql, any_sql, cat_count_sql, first_cat_sql
 from reportlens.functions import lexicons as lx, text as tx
 from reportlens.operators import features, profile
 from reportlens.plans.cleaning import clean_reports
+from reportlens.session import cut_lineage
 
 EN_CLEAN_SQL = (f"{CLINICAL_SQL}, cleaned AS (SELECT uid, condition, mesh_major, {norm_en_sql('findings')} AS findings_clean, "
                 f"{norm_en_sql('impression')} AS impression_clean FROM clinical)")
@@ -188,7 +189,9 @@ def _(spark, sf):
     d = clean_reports(reports(spark, sf).withColumns({"indication": F.lit(""), "mesh_major": F.lit("")}), "en_v1")
     # The profile keeps the report columns only; the condition comes back by id.
     d = d.join(reports(spark, sf).select("uid", "condition"), "uid")
-    s = profile.describe_numeric(features.row_features(d, lx.EN), _SLICE, ["condition"])
+    # The texts are matched once; both statistics read the narrow table.
+    narrow = cut_lineage(features.row_features(d, lx.EN).select("condition", *_SLICE))
+    s = profile.describe_numeric(narrow, _SLICE, ["condition"])
     wide = s.groupBy("condition").agg(
         F.max("n").alias("n"),
         *[F.round(F.max(F.when(F.col("metric") == c, F.col(v))), 6).alias(f"{v}_{c[:3].lower()}") for c in _SLICE for v in ("mean", "median")])

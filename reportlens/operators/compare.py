@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reportlens.functions import text as tx
 from reportlens.operators import ordered, profile
+from reportlens.session import cut_lineage
 
 
 def _long(df: DataFrame, keys, names, section: str) -> DataFrame:
@@ -54,9 +55,11 @@ def feature_overlap(df: DataFrame, cols, by: str = "dataset_source", edges: int
     quantile of the sources. Values outside are left out, as in a plot range.
     """
     bins = edges - 1
-    q = ordered.quantiles(df, cols, [0.01, 0.99], [by])
+    # Counted once: the quantiles and the bins both read the distinct values.
+    values = cut_lineage(ordered.value_counts_long(df, cols, [by]))
+    q = ordered.quantiles_of_counts(values, [0.01, 0.99], [by, "metric"])
     span = q.groupBy("metric").agg(F.min("q_0").alias("a"), F.max("q_1").alias("b"))
-    counts = ordered.value_counts_long(df, cols, [by]).join(span, "metric").filter(F.col("value").between(F.col("a"), F.col("b")))
+    counts = values.join(span, "metric").filter(F.col("value").between(F.col("a"), F.col("b")))
     width = (F.col("b") - F.col("a")) / bins
     raw = F.coalesce(F.floor((F.col("value") - F.col("a")) / F.nullif(width, F.lit(0.0))), F.lit(0))
     fixed = F.when(F.col("value") < F.col("a") + width * raw, raw - 1).when(F.col("value") >= F.col("a") + width * (raw + 1), raw + 1).otherwise(raw)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reportlens.llm.common import table
 from reportlens.llm.exact_dedup import exact_decisions
+from reportlens.llm.quality_rules import quality_decisions
 
 QUERIES, ORACLE = {}, {}
 
@@ -27,3 +28,32 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)""")
 def op9_exact_dedup(spark, sf_dir):
     return exact_decisions(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_quality_rules", r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS gram
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY 1),
+l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+l2 AS (SELECT doc_id, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+       lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
+       FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l2 GROUP BY 1),
+bearers AS (SELECT source, norm, count(DISTINCT text) AS n, min_by(text, doc_id) AS first FROM l2 GROUP BY 1, 2),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY 1),
+common AS (SELECT b.source, norm, first FROM bearers b JOIN hosts h ON b.source IS NOT DISTINCT FROM h.source
+           WHERE b.n >= 10 AND b.n > 0.1 * h.n),
+gone AS (SELECT doc_id, sum(n) AS n FROM l2 JOIN common c ON l2.norm = c.norm AND l2.text <> c.first
+         AND l2.source IS NOT DISTINCT FROM c.source GROUP BY 1),
+f AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+      len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+      coalesce(rep.n, 0) AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed
+      FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT *, NOT base_failed AND NOT (n_removed > 0 AND (n_words - n_removed < 20 OR n_words - n_removed < 0.3 * n_words)) AS kept
+FROM b""")
+def op10_quality_rules(spark, sf_dir):
+    return quality_decisions(table(spark, sf_dir, "documents")).drop("host", "digest", "removed")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reportlens.llm.common import table
 from reportlens.llm.exact_dedup import exact_decisions
+from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.quality_rules import quality_decisions
 
 QUERIES, ORACLE = {}, {}
@@ -57,3 +58,8 @@ SELECT *, NOT base_failed AND NOT (n_removed > 0 AND (n_words - n_removed < 20 O
 FROM b""")
 def op10_quality_rules(spark, sf_dir):
     return quality_decisions(table(spark, sf_dir, "documents")).drop("host", "digest", "removed")
+
+
+@_query("op2_minhash_forest")
+def op2_minhash_forest(spark, sf_dir):
+    return near_decisions(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reportlens.llm.common import table
 from reportlens.llm.exact_dedup import exact_decisions
+from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.quality_rules import quality_decisions
 
@@ -63,3 +64,21 @@ def op10_quality_rules(spark, sf_dir):
 @_query("op2_minhash_forest")
 def op2_minhash_forest(spark, sf_dir):
     return near_decisions(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_mix_sources", r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS s FROM d GROUP BY 1),
+w AS (SELECT *, [5, 2, 1][s % 3 + 1] AS w FROM s),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER (ORDER BY source_size / w, s
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY source_size / w, s
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, s, source_size, least(2.0::DOUBLE * source_size, coalesce(w * min(CASE WHEN level * w < 2 * source_size
+      THEN level END) OVER (), 2.0::DOUBLE * source_size)) AS target FROM l),
+p AS (SELECT doc_id, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY s ORDER BY md5('7:' || doc_id), doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, floor(target) - before))
+       + greatest(0, least(size, floor(target) - before - source_size)))::BIGINT AS taken FROM p""")
+def op3_mix_sources(spark, sf_dir):
+    return mix_decisions(table(spark, sf_dir, "documents"))

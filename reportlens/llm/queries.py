@@ -8,11 +8,18 @@ from reportlens.llm.common import table
 from reportlens.llm.exact_dedup import exact_decisions
 from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
+from reportlens.llm.packing import pack_documents
 from reportlens.llm.quality_rules import quality_decisions
 
 QUERIES, ORACLE = {}, {}
 
 
+def word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _query(name, sql=None):
     def keep(fn):
         QUERIES[name] = fn
@@ -82,3 +89,8 @@ SELECT doc_id, size, source_size, target, (greatest(0, least(size, floor(target)
        + greatest(0, least(size, floor(target) - before - source_size)))::BIGINT AS taken FROM p""")
 def op3_mix_sources(spark, sf_dir):
     return mix_decisions(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_minimum_slack_packing")
+def op7_minimum_slack_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), word_vocabulary())

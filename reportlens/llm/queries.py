@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reportlens.llm.common import table
+from reportlens.llm.common import n_words, table
 from reportlens.llm.exact_dedup import exact_decisions
 from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.packing import pack_documents
 from reportlens.llm.quality_rules import quality_decisions
+from reportlens.llm.sharding import assign_shards
+from reportlens.llm.url_filter import judge_urls
 
 QUERIES, ORACLE = {}, {}
 
@@ -94,3 +96,17 @@ def op3_mix_sources(spark, sf_dir):
 @_query("op7_minimum_slack_packing")
 def op7_minimum_slack_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
+SHARDS = [f"shard-{k:03d}" for k in range(128)]
+
+
+@_query("op1_shard_documents")
+def op1_shard_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", n_words(F.col("text")).alias("n_words"))
+    return assign_shards(docs, SHARDS)
+
+
+@_query("op8_url_filter")
+def op8_url_filter(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"))

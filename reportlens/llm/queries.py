@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from reportlens.llm.common import n_words, table
 from reportlens.llm.exact_dedup import exact_decisions
+from reportlens.llm.language_id import predict_languages
 from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.packing import pack_documents
 from reportlens.llm.quality_rules import quality_decisions
 from reportlens.llm.sharding import assign_shards
+from reportlens.llm.toxicity import toxicity_scores
 from reportlens.llm.url_filter import judge_urls
 
 QUERIES, ORACLE = {}, {}
@@ -110,3 +112,13 @@ def op1_shard_documents(spark, sf_dir):
 @_query("op8_url_filter")
 def op8_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@_query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    return predict_languages(table(spark, sf_dir, "documents"))

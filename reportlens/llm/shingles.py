@@ -9,8 +9,8 @@ import numpy as np
 from reportlens.llm.common import travels_by_value
 
 travels_by_value(__name__)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORD = np.ones(256, bool)
+_WORD[[9, 10, 11, 12, 13, 32]] = False
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64)]
@@ -32,17 +32,24 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS[0]
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hash of each word [^\\x20\\x09-\\x0D]+ of the UTF-8 text, A-Z lower-cased."""
+def runs_of(raw: bytes, inside: np.ndarray):
+    """The runs of bytes that ``inside`` admits, A-Z lower-cased: per byte its
+    term of the run's polynomial hash and its place, per run start and length.
+    The sum of a run's terms is its hash, the sum of the first n that of its
+    first n bytes."""
     a = np.frombuffer(raw.translate(_LOWER), np.uint8)
-    at = np.flatnonzero(~_SPACE[a])
-    if not len(at):
-        return np.empty(0, np.uint64)
+    at = np.flatnonzero(inside[a])
     starts = np.flatnonzero(np.diff(at, prepend=-2) > 1)
     lengths = np.diff(starts, append=len(at))
     place = np.arange(len(at)) - np.repeat(starts, lengths)
-    chars = a[at].astype(np.uint64) + np.uint64(1)
-    return mix(np.add.reduceat(chars * _powers(int(lengths.max()))[place], starts))
+    chars = (a[at].astype(np.uint64) + np.uint64(1)) * _powers(int(lengths.max(initial=1)))[place]
+    return chars, place, starts, lengths
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of each word [^\\x20\\x09-\\x0D]+ of the UTF-8 text, A-Z lower-cased."""
+    chars, _, starts, _ = runs_of(raw, _WORD)
+    return mix(np.add.reduceat(chars, starts)) if len(starts) else np.empty(0, np.uint64)
 
 
 def windows(words: np.ndarray, n: int) -> np.ndarray:

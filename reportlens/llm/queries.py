@@ -10,6 +10,7 @@ from reportlens.llm.language_id import predict_languages
 from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.packing import pack_documents
+from reportlens.llm.passage_dedup import repeated_passages
 from reportlens.llm.quality_rules import quality_decisions
 from reportlens.llm.sharding import assign_shards
 from reportlens.llm.toxicity import toxicity_scores
@@ -122,3 +123,8 @@ def op4_toxicity(spark, sf_dir):
 @_query("op6_language_id")
 def op6_language_id(spark, sf_dir):
     return predict_languages(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_compact_windows")
+def op5_compact_windows(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))

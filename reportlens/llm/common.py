@@ -36,10 +36,3 @@ def n_words(c: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(c, F.lit(WORD)), F.lit(0)).cast("long")
 
-
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not have."""
-    have = {c.lower() for c in df.columns}
-    while name.lower() in have:
-        name += "_"
-    return name

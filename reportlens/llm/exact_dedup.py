@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportlens.llm.common import fresh, lower_ascii, travels_by_value
+from reportlens.llm.common import lower_ascii, travels_by_value
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
@@ -78,11 +78,10 @@ def exact_decisions(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, by the rule of
     ``exact_decisions``. Losers of frequent texts go before the shuffle."""
-    d, n = fresh(docs, "_digest"), fresh(docs, "_nth")
     digests = cut_lineage(docs.select("doc_id", text_digest(F.col("text")).alias("digest")))
-    heavy = (cut_lineage(heavy_digests(digests, counters))
-             .select(F.col("digest").alias(d), F.col("keep_id").alias(n), F.lit(True).alias("_heavy")))
-    marked = docs.withColumn(d, text_digest(F.col("text"))).join(F.broadcast(heavy), d, "left")
-    left = marked.where(F.col("_heavy").isNull() | F.col("doc_id").eqNullSafe(F.col(n)))
-    first = Window.partitionBy(d).orderBy(F.col("doc_id").desc_nulls_last())
-    return left.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
+    heavy = cut_lineage(heavy_digests(digests, counters)).select("digest", "keep_id", F.lit(True).alias("heavy"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_digest(F.col("text")).alias("digest"))
+    marked = rows.join(F.broadcast(heavy), "digest", "left")
+    left = marked.where(F.col("heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    first = Window.partitionBy("digest").orderBy(F.col("doc_id").desc_nulls_last())
+    return left.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportlens.llm.common import fresh, travels_by_value
+from reportlens.llm.common import travels_by_value
 from reportlens.llm.components import components
 from reportlens.llm.shingles import min_hashes, mix, multipliers, set_digest, shingle_set
 from reportlens.session import cut_lineage
@@ -242,10 +242,10 @@ def drop_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
     Rows without a shingle all stay. A doc_id with several rows stays if any of
     them does; rows that repeat its text are one."""
     made = near_decisions(docs, percent)
-    lost, nth = fresh(docs, "_lost"), fresh(docs, "_nth")
-    gone = cut_lineage(made.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows"))
-                       .where("not kept or (rows > 1 and n > 0)").select(F.col("doc_id").alias(lost), "kept").withColumnRenamed("kept", nth))
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone[lost]), "left").where(F.coalesce(F.col(nth), F.lit(True)))
-    first = F.row_number().over(Window.partitionBy("doc_id", nth, "text").orderBy("doc_id"))
-    single = rows.where(F.col(nth).isNull()).select(*docs.columns)
-    return single.unionByName(rows.where(F.col(nth)).withColumn(nth, first).where(F.col(nth) == 1).select(*docs.columns))
+    ids = made.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows"))
+    known = cut_lineage(ids.where("not kept or (rows > 1 and n > 0)").select(F.col("doc_id").alias("id"), "kept"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    rows = rows.join(known, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    first = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("kept"))
+    repeated = rows.where("kept").withColumn("nth", first).where("nth = 1")
+    return rows.where("kept is null").select("row.*").unionByName(repeated.select("row.*"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportlens.llm.common import SPACE, WORD, fresh, n_words
+from reportlens.llm.common import SPACE, WORD, n_words
 from reportlens.session import cut_lineage
 
 MIN_WORDS, MAX_REPEATED, GRAM = 20, 30, 8
@@ -121,17 +121,14 @@ def apply_quality_rules(docs: DataFrame, host: str = "source", **limits) -> Data
     """The documents that pass, without their removed lines; ``n_chars``, if
     there is one, follows the text. All other columns are as they were."""
     made = quality_decisions(docs, host, **limits)
-    bad = cut_lineage(made.where(~F.col("kept") | (F.col("n_removed") > 0))
-                      .select(F.col("host").alias("_of"), F.col("digest").alias("_whose"), "kept", "removed").distinct())
-    d, b = fresh(docs, "_digest"), fresh(docs, "_verdict")
-    rows = docs.withColumn(d, F.xxhash64(F.coalesce("text", F.lit(""))))
-    side = bad.select("_of", "_whose", F.struct("kept", "removed").alias(b))
-    rows = rows.join(side, (rows[d] == side["_whose"]) & rows[host].eqNullSafe(side["_of"]), "left").where(
-        F.col(b).isNull() | F.col(f"{b}.kept"))
-    lines = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col(f"{b}.removed"), _line_hash(x)))
-    text = F.when(F.size(f"{b}.removed") > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
+    known = cut_lineage(made.where(~F.col("kept") | (F.col("n_removed") > 0)).select(
+        F.col("host").alias("of"), F.col("digest").alias("whose"), "kept", "removed").distinct())
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"), F.xxhash64(text).alias("digest"))
+    rows = rows.join(known, (F.col("digest") == F.col("whose")) & F.col("host").eqNullSafe(F.col("of")), "left")
+    rows = rows.where("kept is null or kept")
+    lines = F.filter(F.split("row.text", "\n"), lambda x: ~F.array_contains(F.col("removed"), _line_hash(x)))
+    changed = F.col("row").withField("text", F.array_join(lines, "\n"))
     if "n_chars" in docs.columns:
-        changed = F.when(F.size(f"{b}.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(F.array_join(lines, "\n")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(F.when(F.size("removed") > 0, changed).otherwise(F.col("row")).alias("row")).select("row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportlens.llm.common import fresh, n_words
+from reportlens.llm.common import n_words
 from reportlens.session import cut_lineage
 
 WEIGHTS, SHARE, REPEATS, BLOCK = (5, 2, 1), 1.5, 2, 512
@@ -25,7 +25,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
     ``s``. They share ``share`` times all words by weight; none gets more than
     ``repeats`` times its own words, what is over goes to the others by weight.
     Sorted by cap per weight, the capped ones come first: a source is capped if
-    the level that the rest could share evenly reaches its own cap.
+    the level that the rest could share evenly reaches its own cap; the first
+    that is not gives the level of all that are not.
     """
     one = F.lit(0)
     by_name = Window.partitionBy(one).orderBy(F.col("source").asc_nulls_last())
@@ -38,7 +39,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
     total = F.sum("source_size").over(Window.partitionBy(one))
     level = (F.lit(share) * total - repeats * before) / rest
     leveled = sources.withColumn("level", level).withColumn("cap", (repeats * F.col("source_size")).cast("double"))
-    open_level = F.min(F.when(F.col("level") * F.col("w") < F.col("cap"), F.col("level"))).over(Window.partitionBy(one))
+    open_level = F.max(F.when(F.col("level") * F.col("w") < F.col("cap"), F.col("level"))).over(Window.partitionBy(one))
     target = F.least(F.col("cap"), F.coalesce(open_level * F.col("w"), F.col("cap")))
     return leveled.select("source", "s", "source_size", target.alias("target"))
 
@@ -132,14 +133,11 @@ def apply_mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     text ends after the last word taken; ``n_chars``, if there is one, follows.
     """
     targets = cut_lineage(source_targets(sizes_of(docs)))
-    size = fresh(docs, "size")
-    if size != "size":
-        raise ValueError("a column named size is in the way")
-    placed = _placed(docs.withColumn("size", n_words(F.col("text"))), targets, seed)
-    taken = _takes(placed)
-    spaced = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(F.col("n") < F.col("size"), F.array_join(F.slice(spaced, F.lit(1), F.col("n").cast("int")), "")).otherwise(F.col("text"))
-    out = taken.withColumn("text", text)
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.struct("*").alias("row"))
+    taken = _takes(_placed(rows, targets, seed))
+    spaced = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.array_join(F.slice(spaced, F.lit(1), F.col("n").cast("int")), "")
+    cut = F.col("row").withField("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n") < F.col("size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        cut = cut.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return taken.select(F.when(F.col("n") < F.col("size"), cut).otherwise(F.col("row")).alias("row")).select("row.*")

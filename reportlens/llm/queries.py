@@ -85,7 +85,7 @@ w AS (SELECT *, [5, 2, 1][s % 3 + 1] AS w FROM s),
 l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER (ORDER BY source_size / w, s
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY source_size / w, s
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT source, s, source_size, least(2.0::DOUBLE * source_size, coalesce(w * min(CASE WHEN level * w < 2 * source_size
+t AS (SELECT source, s, source_size, least(2.0::DOUBLE * source_size, coalesce(w * max(CASE WHEN level * w < 2 * source_size
       THEN level END) OVER (), 2.0::DOUBLE * source_size)) AS target FROM l),
 p AS (SELECT doc_id, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY s ORDER BY md5('7:' || doc_id), doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before

@@ -8,6 +8,7 @@ could not fill are opened again and packed together with those of other groups.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import pyarrow as pa
@@ -18,24 +19,52 @@ from reportlens.llm.common import travels_by_value
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
-LENGTH, GROUP, ROUNDS, CACHED = 2048, 4096, 3, 200_000
+LENGTH, GROUP, ROUNDS, CACHED = 2048, 4096, 3, 500_000
+
+
+# A word of Latin letters and the marks behind it: lower-casing and composition change these letters one by one.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f]*)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class _Ids(dict):
     """Token ids (little-endian 32-bit) of stretches between blanks. No token
-    spans a blank, so that a text has the ids of its stretches in a row."""
+    spans a blank, so that a text has the ids of its stretches in a row. Plain
+    words go to the tokenizer's model directly, once for all spellings; its
+    letters are the byte alphabet that the pre-tokenizer also makes."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.words = tokenizer, tokenizer.model, {"": b""}
+        self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        step = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {c: "".join(w for w, _ in step(c)) for c in map(chr, range(0xC0, 0x180)) if c.isalpha()}
         super().__init__({"": b""})
 
-    def __missing__(self, stretch):
-        ids = b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(stretch, add_special_tokens=False).ids)
-        if len(self) > CACHED:
+    def text(self, text: str) -> bytes:
+        text = text.lower() if text.isascii() else text
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def first(self, word: str) -> bytes:
+        mapped = word if word.isascii() else "".join([self.letters.get(c, c) for c in word])
+        packed = self.packed
+        ids = b"".join([packed[t.id] for t in self.model.tokenize(mapped)])
+        if len(self.words) > CACHED:
+            self.words.clear()
             self.clear()
-            self[""] = b""
-        if len(stretch) <= 64:
-            self[stretch] = ids
+        self.words[word] = ids
+        return ids
+
+    def __missing__(self, stretch):
+        plain = _PLAIN.fullmatch(stretch) if len(stretch) <= 64 else None
+        if not plain:
+            return b"".join([self.packed[i] for i in self.tokenizer.encode(stretch, add_special_tokens=False).ids])
+        letters, marks = plain.groups()
+        known = self.words.get(letters.lower())
+        end = self.words.get(marks)
+        if end is None:
+            end = self.first(marks)
+        if known is None:  # a word seen for the first time, as most are, is kept once only
+            return self.first(letters.lower()) + end
+        self[stretch] = ids = known + end
         return ids
 
 
@@ -50,8 +79,7 @@ def _tokenise(vocabulary: str, length: int, end_id: int, with_ids: bool):
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    stretches = (text or "").replace("\n", " ").split(" ")
-                    all_ids = b"".join(map(ids.__getitem__, stretches)) + end
+                    all_ids = ids.text(text or "") + end
                     for k, i in enumerate(range(0, len(all_ids), width)):
                         piece = all_ids[i:i + width]
                         rows.append((doc, k, i // 4, len(piece) // 4, zlib.crc32(piece), piece))

@@ -134,29 +134,34 @@ def _vote(sent):
     return run
 
 
+def _unshared(side: np.ndarray, mass: list[np.ndarray]) -> np.ndarray:
+    """Per voter one over the sum of its correlations with all voters, within the classes that ``mass`` weighs."""
+    shared = np.zeros((side.shape[1],) * 2)
+    for w in mass:
+        left = side - w @ side / max(w.sum(), 1e-9)
+        cov = (left * w[:, None]).T @ left / max(w.sum(), 1e-9)
+        sd = np.sqrt(np.diag(cov)) + 1e-9
+        shared += np.clip(cov / sd / sd[:, None], 0, 1) / len(mass)
+    np.fill_diagonal(shared, 1)
+    return 1 / shared.sum(1)
+
+
 def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Posterior of toxic for each vote pattern (rows of 0, 1, 2) seen ``counts`` times."""
-    n, m = patterns.shape
+    """Posterior of toxic for each vote pattern (rows of 0, 1, 2) seen ``counts``
+    times. EM begins with the votes weighted by what each voter does not share
+    with any other, else copies of one voter would pass for the truth."""
     one = np.eye(3)[patterns]
-    share = (patterns == 2).sum(1) / np.maximum(1, (patterns > 0).sum(1))
-    post, weight = np.clip(share, 0.02, 0.98), np.ones(m)
+    side = (patterns == 2).astype(float) - (patterns == 1)
+    weight = _unshared(side, [counts])
+    share = ((side > 0) @ weight) / np.maximum(1e-9, (side != 0) @ weight)
+    post = np.clip(share, 0.02, 0.98)
     for turn in range(rounds):
         mass = counts * np.stack([1 - post, post])
         rates = (np.einsum("cn,nmk->cmk", mass, one) + 0.5) / (mass.sum(1)[:, None, None] + 1.5)
         evidence = np.einsum("nmk,cmk->ncm", one, np.log(rates))
         if turn in (5, 15, 30):  # what voters share given the class
-            side = (patterns == 2).astype(float) - (patterns == 1)
-            shared = np.zeros((m, m))
-            for c in range(2):
-                mean = mass[c] @ side / max(mass[c].sum(), 1e-9)
-                left = side - mean
-                cov = (left * mass[c][:, None]).T @ left / max(mass[c].sum(), 1e-9)
-                sd = np.sqrt(np.diag(cov)) + 1e-9
-                shared += 0.5 * np.clip(cov / sd / sd[:, None], 0, 1)
-            np.fill_diagonal(shared, 1)
-            weight = 1 / shared.sum(1)
-        prior = np.log((mass.sum(1) + 1) / (counts.sum() + 2))
-        score = prior + evidence @ weight
+            weight = _unshared(side, list(mass))
+        score = np.log((mass.sum(1) + 1) / (counts.sum() + 2)) + evidence @ weight
         post = 1 / (1 + np.exp(np.clip(score[:, 0] - score[:, 1], -50, 50)))
     return post
 

@@ -102,10 +102,12 @@ def predict_languages(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLU
     for r in learn.select("text").mapInArrow(_document_counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         counts[r["at"]] = r["n"]
     idf = (np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1).astype(np.float32)
-    sizes = learn.groupBy("lang").count().withColumnRenamed("lang", "_lang")
-    share = F.least(F.lit(1.0), F.lit(0.9 * sample) / F.col("count"))
-    drawn = (learn.join(sizes, learn["lang"] == sizes["_lang"])
-             .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) <= share * (1 << 30)).select("lang", "text"))
+    sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}  # few, like the centroids
+    shares = F.lit(0.0)
+    for lang, n in sizes.items():
+        shares = F.when(F.col("lang") == lang, min(1.0, 0.9 * sample / n)).otherwise(shares)
+    # Drawn where the texts are read: only the sample is shuffled, repeated rows of it once.
+    drawn = learn.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) <= shares * (1 << 30)).select("lang", "text").distinct()
     found = drawn.groupBy("lang").applyInPandas(_cluster(idf, clusters), "lang string, far double, centre array<float>")
     rows = sorted(found.collect(), key=lambda r: (r["lang"], r["centre"]))
     model = (idf, [r["lang"] for r in rows], np.array([r["centre"] for r in rows], np.float32).reshape(-1, SIZE),

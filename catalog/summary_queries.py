@@ -16,7 +16,7 @@ _SENTS = f"list_filter(list_transform(string_split({{c}}, '.'), lambda s: {strip
 def _extract_sql(k: int) -> str:
     return (f"sent AS (SELECT uid, unnest(range(len(ss)))::INTEGER AS pos, unnest(ss) AS sentence FROM (SELECT uid, {_SENTS.format(c='impression')} AS ss FROM reports)), "
             "tf AS (SELECT uid, pos, term, count(*) AS tf FROM (SELECT uid, pos, unnest(regexp_extract_all(lower(sentence), '[\\p{L}\\p{N}_]{2,}')) AS term FROM sent) GROUP BY ALL), "
-            "voc AS (SELECT term, ln((1 + (SELECT count(*) FROM sent)::DOUBLE) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1) ORDER BY total DESC, term LIMIT 5000), "
+            "voc AS (SELECT term, ln((1 + (SELECT count(*) FROM sent)::DOUBLE) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)), "
             "wv AS (SELECT uid, pos, term, w / sqrt(sum(w * w) OVER (PARTITION BY uid, pos)) AS w FROM (SELECT uid, pos, term, tf * idf AS w FROM tf JOIN voc USING (term))), "
             "cent AS (SELECT uid, term, sum(w) AS c FROM wv GROUP BY 1, 2), cn AS (SELECT uid, sqrt(sum(c * c)) AS n FROM cent GROUP BY 1), "
             "sco AS (SELECT wv.uid, pos, round(sum(w * c) / (sqrt(sum(w * w)) * any_value(n)), 9) AS score FROM wv JOIN cent ON wv.uid = cent.uid AND wv.term = cent.term JOIN cn ON cn.uid = wv.uid GROUP BY 1, 2), "

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORD = r"[\p{L}\p{N}_]{2,}"
+BROADCAST_TERMS = 100_000  # a vocabulary of at most so many terms (some 5 MB) is broadcast
+
+
+def small(max_features: int | None) -> bool:
+    return bool(max_features) and max_features <= BROADCAST_TERMS
 
 
 def term_list(text, stop_words=(), ngrams=(1,)) -> Column:
@@ -46,10 +51,10 @@ def vocabulary(tf: DataFrame, n_docs: Column, min_df: int = 1, max_df: float = 1
     return v.select("term", "df", (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def weigh(tf: DataFrame, vocab: DataFrame, key: str, bounded: bool) -> DataFrame:
+def weigh(tf: DataFrame, vocab: DataFrame, key: str, max_features: int | None) -> DataFrame:
     """(key, term, df, weight): tf * idf with unit length per key. The
-    vocabulary is broadcast only if its size is bounded by ``max_features``."""
-    side = F.broadcast(vocab) if bounded else vocab
+    vocabulary is broadcast only if ``max_features`` keeps it small."""
+    side = F.broadcast(vocab) if small(max_features) else vocab
     raw = tf.join(side, "term").withColumn("_w", F.col("tf") * F.col("idf"))
     per_doc = Window.partitionBy(key)
     return raw.select(key, "term", "df", (F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(per_doc))).alias("weight"))
@@ -62,4 +67,4 @@ def tfidf(df: DataFrame, key: str, text: str, ngrams=(1,), min_df: int = 1, max_
     tf = term_frequencies(docs, key, "_terms")
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     vocab = vocabulary(tf, n_docs, min_df, max_df, max_features)
-    return weigh(tf, vocab, key, bool(max_features)).drop("df")
+    return weigh(tf, vocab, key, max_features).drop("df")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reportlens.session import cut_lineage
 from reportlens.functions import lexicons as lx, text as tx
 from reportlens.operators import ordered
 
@@ -133,14 +134,16 @@ def composite_features(df: DataFrame, lexicon: dict = lx.EN) -> DataFrame:
 def engineer_features(df: DataFrame, lexicon: dict = lx.EN, stage: str | None = None) -> DataFrame:
     """All features of a cleaned table.
 
-    The maxima behind F22-F24 need a second look at the row features. With
-    ``stage`` (a shared folder) the row features are written there once and read
-    back, so the texts are matched against the lexicons only once.
+    The maxima behind F22-F24 need a second look at the row features. They are
+    written once and read back, to ``stage`` or else to the checkpoint folder, so
+    that the texts are matched against the lexicons only once.
     """
     d = row_features(df, lexicon)
     if stage:
         d.write.mode("overwrite").parquet(stage)
         d = df.sparkSession.read.schema(d.schema).parquet(stage)
+    else:
+        d = cut_lineage(d)
     if lexicon["lang"] == "fr":
         d = age_feature(d, lexicon.get("default_age", 50.0))
     d = composite_features(d, lexicon)

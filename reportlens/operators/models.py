@@ -20,8 +20,8 @@ from reportlens.session import cut_lineage
 
 def with_class_weight(df: DataFrame, label: str, mode: str = "balanced", out: str = "class_weight") -> DataFrame:
     """``balanced``: n / (classes * n_class). ``positive``: neg/pos on label 1,
-    1 elsewhere. The class table has one row per class and is joined; Spark
-    broadcasts it when its measured size allows."""
+    1 elsewhere. The weights, one per class, are a map in a scalar subquery, so
+    that the rows are not shuffled by class. Rows without a label are dropped."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"),
                                  F.sum(F.when(F.col(label).cast("string") == "1", F.col("_n")).otherwise(0)).alias("pos"))).scalar()
@@ -30,7 +30,9 @@ def with_class_weight(df: DataFrame, label: str, mode: str = "balanced", out: st
         weight = F.col("_t.n") / (F.col("_t.k") * F.col("_n"))
     else:
         weight = F.when(F.col(label).cast("string") == "1", (F.col("_t.n") - F.col("_t.pos")) / F.col("_t.pos")).otherwise(F.lit(1.0))
-    return df.join(w.select(label, weight.alias(out)), label)
+    key = F.col(label).cast("string")
+    weights = w.filter(F.col(label).isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct(key, weight.cast("double"))))).scalar()
+    return df.filter(F.col(label).isNotNull()).withColumn("_weights", weights).withColumn(out, F.col("_weights")[key]).drop("_weights")
 
 
 def index_labels(df: DataFrame, label: str, out: str = "label"):

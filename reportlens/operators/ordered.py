@@ -1,68 +1,64 @@
 """Operators that need a global order: running sums, quantiles, ranks.
 
 A window without partition would move every row to one task. Here the values
-are first counted per distinct value, then cut into buckets by a fixed monotone
-function of the value. Running sums are taken inside the buckets (in parallel)
-and over the bucket totals, whose number is bounded by the function itself.
+are first counted per distinct value, then cut into a fixed number of buckets of
+about equally many values. Running sums are taken inside the buckets (in
+parallel) and over the bucket totals.
 A value shared by a third of all rows is a single counted row after the first
 partial aggregation, so no task sees a hot group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_STEPS = 1024  # buckets per power of two
+_SPLITS = 1023  # cuts between buckets
 
 
-def value_bucket(c) -> Column:
-    """Monotone bucket number of a numeric value, the same in every run.
+def value_splits(df: DataFrame, value: str) -> Column:
+    """Cuts that deal the rows of ``df`` evenly by value, as a scalar subquery.
 
-    The bucket is built from the binary exponent and the leading fraction of the
-    magnitude, so there are some ten thousand buckets for realistic data and
-    about 4.3 million (2 * 2100 * 1024) in all, whatever the number of rows.
+    The quantiles are approximate, which only makes buckets a little uneven. A
+    column whose values all lie close together gets as many buckets as any.
     """
-    v = (F.col(c) if isinstance(c, str) else c).cast("double")
-    size = F.abs(v)
-    exponent = F.floor(F.log2(size))
-    fraction = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * _STEPS)
-    key = (exponent + 1100) * (2 * _STEPS) + fraction + 2
-    finite = F.when(size < F.lit(1.7e308), key.cast("long")).otherwise(F.lit(10**7))
-    return F.when(v == 0, F.lit(0)).when(v > 0, finite).otherwise(-finite).cast("long")
+    share = [(i + 1) / (_SPLITS + 1) for i in range(_SPLITS)]
+    return df.agg(F.percentile_approx(F.col(value).cast("double"), F.array(*map(F.lit, share)), F.lit(10_000))).scalar()
+
+
+def value_bucket(value: str, splits: str) -> Column:
+    """How many cuts of the sorted array column ``splits`` are at most the
+    value: a binary search of ten steps, monotone in the value."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((_SPLITS + 1).bit_length() - 1))])
+    v = F.col(value).cast("double")
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(F.col(splits), at + step - 1) <= v, at + step).otherwise(at))
 
 
-def running_sums(df: DataFrame, value: str, sums, by=(), descending: bool = False, totals: bool = True) -> DataFrame:
+def running_sums(df: DataFrame, value: str, sums, by=(), descending: bool = False, totals: bool = True,
+                 splits: Column | None = None) -> DataFrame:
     """Running sums over the distinct values of ``value`` within ``by``.
 
     ``df`` holds one row per (by, value); ``sums`` are numeric columns. Adds
     ``cum_<s>`` (value included) and, if asked, ``total_<s>`` over the group.
+    ``splits``, an array of cuts, saves the look for them in repeated calls.
     """
     by, sums = list(by), list(sums)
-    bucketed = df.withColumn("_bucket", value_bucket(value))
-    if not by:
-        bucketed, by, dropped = bucketed.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
-    else:
-        dropped = []
+    # A struct compares equal with its nulls, so that one exchange by group and bucket serves windows and join alike.
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    cuts = value_splits(df, value) if splits is None else splits
+    bucketed = df.withColumn("_splits", cuts).withColumn("_bucket", value_bucket(value, "_splits")).drop("_splits").withColumn("_group", group)
     order = (lambda c: F.col(c).desc()) if descending else F.col
 
-    inside = Window.partitionBy(*by, "_bucket").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per bucket: the row count of this window is bounded by value_bucket.
-    before = Window.partitionBy(*by).orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    per_bucket = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias("_b_" + s) for s in sums])
+    inside = Window.partitionBy("_group", "_bucket").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
+    # One row per bucket: at most _SPLITS + 1 for a group.
+    before = Window.partitionBy("_group").orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_group")
+    per_bucket = bucketed.groupBy("_group", "_bucket").agg(*[F.sum(s).alias("_b_" + s) for s in sums])
     offsets = per_bucket.select(
-        *[F.col(b).alias("_k_" + b) for b in by], F.col("_bucket").alias("_k_bucket"),
-        *[F.coalesce(F.sum("_b_" + s).over(before), F.lit(0)).alias("_off_" + s) for s in sums],
-        *[F.sum("_b_" + s).over(whole).alias("total_" + s) for s in sums if totals],
-    )
-    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col("_k_" + b)) for b in by],
-                  F.col("_bucket") == F.col("_k_bucket"))
-    out = bucketed.select("*", *[F.sum(s).over(inside).alias("_in_" + s) for s in sums]).join(offsets, same)
+        "_group", "_bucket", *[F.coalesce(F.sum("_b_" + s).over(before), F.lit(0)).alias("_off_" + s) for s in sums],
+        *[F.sum("_b_" + s).over(whole).alias("total_" + s) for s in sums if totals])
+    out = bucketed.select("*", *[F.sum(s).over(inside).alias("_in_" + s) for s in sums]).join(offsets, ["_group", "_bucket"])
     out = out.withColumns({"cum_" + s: F.col("_in_" + s) + F.col("_off_" + s) for s in sums})
-    helpers = ["_bucket", "_k_bucket", *dropped, *["_k_" + b for b in by]]
-    return out.drop(*helpers, *["_in_" + s for s in sums], *["_off_" + s for s in sums])
+    return out.drop("_group", "_bucket", *["_in_" + s for s in sums], *["_off_" + s for s in sums])
 
 
 def melt(df: DataFrame, cols, by=(), name: str = "metric", positive_only: bool = False) -> DataFrame:
@@ -133,13 +129,10 @@ def distributed_rank(df: DataFrame, order_hash, by=()) -> DataFrame:
     """
     by = list(by)
     ranked = df.withColumn("_h", order_hash).withColumn("_slice", F.shiftrightunsigned("_h", 48))
-    inside = Window.partitionBy(*by, "_slice").orderBy(F.shiftrightunsigned("_h", 1), "_h")
-    counts = ranked.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(b).alias("_k_" + b) for b in by], F.col("_slice").alias("_k_slice"),
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col("_k_" + b)) for b in by],
-                  F.col("_slice") == F.col("_k_slice"))
-    out = ranked.withColumn("_rn", F.row_number().over(inside)).join(offsets, same)
-    out = out.withColumn("rank", F.col("_rn") - 1 + F.col("_off"))
-    return out.drop("_h", "_slice", "_rn", "_k_slice", "_off", *["_k_" + b for b in by])
+    ranked = ranked.withColumn("_group", F.struct(*by) if by else F.struct(F.lit(0).alias("all")))
+    inside = Window.partitionBy("_group", "_slice").orderBy(F.shiftrightunsigned("_h", 1), "_h")
+    counts = ranked.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_group", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = ranked.withColumn("_rn", F.row_number().over(inside)).join(offsets, ["_group", "_slice"])
+    return out.withColumn("rank", F.col("_rn") - 1 + F.col("_off")).drop("_h", "_group", "_slice", "_rn", "_off")

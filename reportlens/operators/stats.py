@@ -39,7 +39,8 @@ def ks_two_sample(df: DataFrame, cols, side: Column) -> DataFrame:
     run = ordered.running_sums(counts, "value", ["a", "b"], ["metric"])
     gap = F.abs(F.col("cum_a") / F.col("total_a") - F.col("cum_b") / F.col("total_b"))
     out = run.groupBy("metric").agg(F.max("total_a").alias("n1"), F.max("total_b").alias("n2"), F.max(gap).alias("statistic"))
-    n_eff = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")  # the product of two counts exceeds 64 bits at scale
+    n_eff = n1 * n2 / (n1 + n2)
     return out.withColumn("p_value", kolmogorov_p(F.col("statistic"), n_eff))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from reportlens.functions import text as tx
 from reportlens.operators import corpus
 from reportlens.operators.rows import head_n
+from reportlens.session import cut_lineage
 
 
 # ------------------------------------------------------------- summarisers
@@ -19,22 +20,23 @@ def sentence_rows(df: DataFrame, key: str, text: str, mode: str = "dot") -> Data
     return df.select(key, F.posexplode(tx.sentences(text, mode)).alias("pos", "sentence"))
 
 
-def _tfidf_parts(sents: DataFrame, key: str, max_features: int) -> DataFrame:
+def _tfidf_parts(sents: DataFrame, key: str, max_features: int | None) -> DataFrame:
     """(key, pos, term, w): unit TF-IDF vectors with every sentence a document."""
     s = sents.withColumn("_sid", F.struct(key, "pos")).withColumn("_terms", corpus.term_list("sentence"))
     tf = corpus.term_frequencies(s, "_sid", "_terms")
     vocab = corpus.vocabulary(tf, s.agg(F.count(F.lit(1))).scalar(), max_features=max_features)
-    w = corpus.weigh(tf, vocab, "_sid", True)
+    w = corpus.weigh(tf, vocab, "_sid", max_features)
     return w.select(F.col(f"_sid.{key}").alias(key), F.col("_sid.pos").alias("pos"), "term", F.col("weight").alias("w"))
 
 
-def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=None, max_features: int = 5000,
+def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=None, max_features: int | None = None,
                        mode: str = "dot") -> DataFrame:
     """(key, summary): the k sentences closest to the document centroid, in
     their original order, joined by ``. ``.
 
     Sentences are TF-IDF vectors, or whatever ``embed`` (a DataFrame function
-    over key, pos, sentence) puts in an array column ``vec``.
+    over key, pos, sentence) puts in an array column ``vec``. All terms count
+    unless ``max_features`` asks for the most frequent ones only.
     """
     sents = sentence_rows(df, key, text, mode)
     if embed is None:
@@ -162,7 +164,8 @@ def predictions(df: DataFrame, key: str, source: str, reference: str, summariser
 def evaluate_summaries(df: DataFrame, key: str, source: str, reference: str, summarisers: dict, n: int | None = None,
                        unicode: bool = False) -> DataFrame:
     """(model, pairs, mean of each ROUGE score)."""
-    pred = predictions(df, key, source, reference, summarisers, n)
+    # Written once: three scores read the predictions, and a summariser may be costly.
+    pred = cut_lineage(predictions(df, key, source, reference, summarisers, n))
     s = rouge_all(pred, ["model", key], "reference", "prediction", unicode)
     names = [f"rouge{x}_{m}" for x in ("1", "2", "L") for m in ("p", "r", "f")]
     return s.groupBy("model").agg(F.count(F.lit(1)).alias("pairs"), *[F.avg(c).alias(c) for c in names])

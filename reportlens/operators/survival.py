@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,15 +23,18 @@ def _linear(cols, beta) -> Column:
     return sum((F.col(f"_z{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0))
 
 
-def cox_fit(df: DataFrame, time: str, event: str, cols, l2: float = 0.1, max_iter: int = 25, tol: float = 1e-7) -> dict:
+def cox_fit(df: DataFrame, time: str, event: str, cols, l2: float = 0.1, max_iter: int = 100, tol: float = 1e-7) -> dict:
     """Proportional hazards by Newton steps with a ridge penalty (Breslow ties).
 
     Covariates are standardised for the fit and the coefficients scaled back.
     A step is one aggregation: sums per distinct time, running sums over the
     times from the latest, and p x p totals that reach the driver.
-    The likelihood is averaged over the rows, as the penalty is per row.
+    The likelihood is averaged over the rows, as the penalty is per row. Rows
+    without time or event take no part. ``converged`` says whether the gradient
+    fell below ``tol``; a fit that did not is also warned about.
     """
     p = len(cols)
+    df = df.filter(F.col(time).isNotNull() & F.col(event).isNotNull())
     numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
     m = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(numbers[c]).alias(f"m{i}") for i, c in enumerate(cols)],
                *[F.stddev_samp(numbers[c]).alias(f"s{i}") for i, c in enumerate(cols)]).first()
@@ -70,14 +75,17 @@ def cox_fit(df: DataFrame, time: str, event: str, cols, l2: float = 0.1, max_ite
             rounds += 1
     finally:
         base.unpersist()
+    converged = bool(np.max(np.abs(g), initial=0.0) <= tol)
+    if not converged:
+        warnings.warn(f"the Cox fit did not converge in {rounds} rounds", stacklevel=2)
     return {"cols": list(cols), "coef": (beta / scale).tolist(), "gradient": g.tolist(), "log_likelihood": float(ll),
-            "iterations": rounds, "mean": mean.tolist()}
+            "iterations": rounds, "converged": converged, "mean": mean.tolist()}
 
 
 def cox_table(spark, fit: dict) -> DataFrame:
-    """(feature, coef, hazard_ratio, gradient), one row per covariate."""
-    data = [(c, float(b), float(np.exp(b)), float(g)) for c, b, g in zip(fit["cols"], fit["coef"], fit["gradient"])]
-    return spark.createDataFrame(data, "feature string, coef double, hazard_ratio double, gradient double")
+    """(feature, coef, hazard_ratio, gradient, converged), one row per covariate."""
+    data = [(c, float(b), float(np.exp(b)), float(g), fit["converged"]) for c, b, g in zip(fit["cols"], fit["coef"], fit["gradient"])]
+    return spark.createDataFrame(data, "feature string, coef double, hazard_ratio double, gradient double, converged boolean")
 
 
 def cox_risk(df: DataFrame, coef: dict, mean: dict | None = None, out: str = "risk") -> DataFrame:
@@ -107,7 +115,7 @@ def _dense_rank(df: DataFrame, col: str, out: str, levels: DataFrame | None = No
     return ordered.running_sums(values, col, ["_one"], totals=False).select(col, (F.col("cum__one") - 1).alias(out))
 
 
-def concordance(df: DataFrame, time: str, event: str, risk: str, bits: int | None = None) -> DataFrame:
+def concordance(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     """(concordant, discordant, tied, c_index), exact.
 
     A pair counts if one row has an event and the other leaves later (a censored
@@ -121,9 +129,8 @@ def concordance(df: DataFrame, time: str, event: str, risk: str, bits: int | Non
             F.count(F.lit(1)).alias("n"))
     t_rank, r_rank = _dense_rank(base, "t", "ti"), _dense_rank(base, "r", "ri")
     coded = base.join(t_rank, "t").join(r_rank, "r").select((2 * F.col("ti") + 1 - F.col("e")).alias("pos"), "ri", "e", "n")
-    bits = bits or 40  # 2**40 distinct risks
     top = coded.agg(F.max("ri")).scalar()
-    levels = F.expr(f"filter(sequence(-1, {bits - 1}), b -> b < 0 OR shiftright(top, b) > 0)")
+    levels = F.expr("filter(sequence(-1, 61), b -> b < 0 OR shiftright(top, b) > 0)")  # as many bits as the ranks have
     # Level -1 groups equal risks (ties); level b compares rows that differ first at bit b.
     cells = coded.withColumn("top", top).withColumn("level", F.explode(levels)).select(
         "level", F.expr("CASE WHEN level < 0 THEN ri ELSE shiftright(ri, level + 1) END").alias("grp"),

@@ -11,12 +11,22 @@ def test_value_bucket_is_monotone(spark):
     rng = np.random.default_rng(1)
     v = np.concatenate([rng.normal(0, 10.0 ** e, 300) for e in range(-6, 9)] + [2.0 ** np.arange(-20, 40), -(2.0 ** np.arange(-20, 40)), [0.0, 1e300, -1e300]])
     v = np.concatenate([v, np.nextafter(v, np.inf), np.nextafter(v, -np.inf)])
-    d = spark.createDataFrame([(float(x),) for x in v], "v double").select("v", ordered.value_bucket("v").alias("b")).orderBy("v").collect()
+    d = spark.createDataFrame([(float(x),) for x in v], "v double")
+    d = d.withColumn("s", ordered.value_splits(d, "v")).select("v", ordered.value_bucket("v", "s").alias("b")).orderBy("v").collect()
     b = [r["b"] for r in d]
     assert all(x <= y for x, y in zip(b, b[1:]))
     assert len(set(b)) > 100
 
 
+def test_value_bucket_cuts_a_narrow_column(spark):
+    """A million values that differ by a millionth of their size are dealt over
+    many buckets of about equal size."""
+    d = spark.range(1_000_000).select((F.lit(1.7e9) + F.col("id") / 1000).alias("v"))
+    d = d.withColumn("s", ordered.value_splits(d, "v")).select(ordered.value_bucket("v", "s").alias("b"))
+    n = [r["count"] for r in d.groupBy("b").count().collect()]
+    assert len(n) > 900 and max(n) < 5000
+
+
 def test_quantiles_match_numpy(spark):
     rng = np.random.default_rng(2)
     data = [("hot", float(round(x, 2))) for x in rng.lognormal(3, 2, 2000)] + [("small", -1.5), ("small", 2.5), ("hot", None)] + [("hot", 7.0)] * 1500

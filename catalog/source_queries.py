@@ -161,13 +161,14 @@ def two_sources(spark, sf):
 _RAW = (f"{REPORTS_SQL}, raw AS (SELECT uid, dataset_source, findings, nullif(impression, '') AS impression, quality, toxic FROM reports LEFT JOIN labels ON doc_id = uid), "
         f"clean AS (SELECT *, {wc('findings')} AS fw, {wc('impression')} AS iw FROM raw WHERE {wc('findings')} + {wc('impression')} >= 5)")
 _CMP = (f"WITH {_RAW}, sz AS (SELECT dataset_source, (SELECT count(*) FROM raw r WHERE r.dataset_source = c.dataset_source) AS raw, count(*) AS clean FROM clean c GROUP BY 1), "
-        "m AS (SELECT dataset_source, unnest(['raw', 'clean', 'keep_pct', 'size_ratio']) AS metric, unnest([raw::DOUBLE, clean, clean / raw * 100, clean / (SELECT min(clean) FROM sz)]) AS value FROM sz) "
+        "m AS (SELECT dataset_source, unnest(['raw', 'clean', 'keep_pct', 'size_ratio']) AS metric, unnest([raw::DOUBLE, clean, clean / raw * 100, clean / (SELECT min(clean) FROM sz)]) AS value FROM sz), "
+        f"terms AS (SELECT dataset_source, t, count(*) AS n FROM (SELECT dataset_source, unnest(CASE WHEN dataset_source = 'secondary' THEN {tokens_sql('findings', 'fr')} ELSE {tokens_sql('findings', 'en')} END) AS t FROM clean) GROUP BY 1, 2) "
         "SELECT 'size' AS section, dataset_source, metric, round(value, 6) AS value FROM m UNION ALL "
         + " UNION ALL ".join(f"SELECT 'missing', dataset_source, '{c}', round((count(*) - count({c})) / count(*) * 100, 2) FROM raw GROUP BY 2" for c in _MISS) + " UNION ALL "
         + " UNION ALL ".join(f"SELECT 'length', dataset_source, '{n}_{m}', round(({e}({c}) FILTER (WHERE {c} > 0))::DOUBLE, 6) FROM clean GROUP BY 2" for n, c in (("findings", "fw"), ("impression", "iw"))
                              for m, e in (("mean", "avg"), ("median", "median")))
-        + f" UNION ALL SELECT 'vocabulary', dataset_source, m, v FROM (SELECT dataset_source, unnest(['vocabulary', 'total_tokens']) AS m, unnest([count(DISTINCT t), count(*)])::DOUBLE AS v "
-          f"FROM (SELECT dataset_source, unnest({tokens_sql('findings', 'fr')}) AS t FROM clean) GROUP BY 1)")
+        + " UNION ALL SELECT 'vocabulary', dataset_source, m, v FROM (SELECT dataset_source, unnest(['vocabulary', 'total_tokens']) AS m, unnest([count(*), sum(n)])::DOUBLE AS v FROM terms GROUP BY 1)"
+          " UNION ALL SELECT 'top_words', dataset_source, t, n::DOUBLE FROM (SELECT *, row_number() OVER (PARTITION BY dataset_source ORDER BY n DESC, t) AS rn FROM terms) WHERE rn <= 5")
 
 
 @query("agg30_compare_sources", _CMP)

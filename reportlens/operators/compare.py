@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from reportlens.functions import text as tx
 from reportlens.operators import ordered, profile
 from reportlens.session import cut_lineage
 
 
+SOURCE_LANGUAGES = {"primary": "en", "secondary": "fr"}
+
+
 def _long(df: DataFrame, keys, names, section: str) -> DataFrame:
     cast = df.select(*keys, *[F.col(n).cast("double").alias(n) for n in names])
     return cast.unpivot(list(keys), list(names), "metric", "value").select(F.lit(section).alias("section"), *keys, "metric", "value")
@@ -30,22 +33,38 @@ def top_missing(raw: DataFrame, cols, by: str = "dataset_source", k: int = 10) -
     one row per (source, column)."""
     one = raw.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     long = one.unpivot([by, "_n"], list(cols), "column_name", "missing").withColumn("pct", F.round(F.col("missing") / F.col("_n") * 100, 2))
-    from pyspark.sql import Window
     w = Window.partitionBy(by).orderBy(F.desc("pct"), "column_name")
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(by, "column_name", "pct")
 
 
+def source_terms(df: DataFrame, text: str, by: str, langs: dict) -> DataFrame:
+    """(source, term, n): words of every source, cut and cleared of stop words in
+    the source's own language."""
+    words = tx.tokens(text, "en")
+    for lang in sorted(set(langs.values()) - {"en"}):
+        words = F.when(F.col(by).isin([s for s, of in langs.items() if of == lang]), tx.tokens(text, lang)).otherwise(words)
+    return df.select(by, F.explode(words).alias("term")).groupBy(by, "term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def compare_sources(raw: DataFrame, clean: DataFrame, missing_cols, findings: str = "findings_clean",
-                    impression: str = "impression_clean", by: str = "dataset_source", lang: str = "fr") -> DataFrame:
+                    impression: str = "impression_clean", by: str = "dataset_source", langs: dict | None = None, k: int = 5) -> DataFrame:
     """(section, source, metric, value): counts, retention, size ratio, highest
-    null shares, lengths and vocabulary of every source in two tagged unions."""
+    null shares, lengths, vocabulary and the ``k`` most frequent words of every
+    source. ``langs`` names the language (en or fr) of a source, by default that
+    of the two known ones; the words of any other source are taken as English."""
+    langs = SOURCE_LANGUAGES if langs is None else langs
     sizes = _long(size_comparison(raw, clean, by), [by], ["raw", "clean", "keep_pct", "size_ratio"], "size")
     miss = top_missing(raw, missing_cols, by).select(F.lit("missing").alias("section"), by, F.col("column_name").alias("metric"), F.col("pct").alias("value"))
     words = clean.select(by, tx.word_count(findings).alias("findings"), tx.word_count(impression).alias("impression"))
     ls = profile.length_summary(words, ("findings", "impression"), [by])
     stats = [ls.select(F.lit("length").alias("section"), by, F.concat("metric", F.lit("_" + s)).alias("metric"), F.col(s).alias("value")) for s in ("mean", "median")]
-    vocab = _long(profile.vocabulary_size(clean, findings, lang, [by]), [by], ["vocabulary", "total_tokens"], "vocabulary")
-    return reduce(lambda a, b: a.unionByName(b), [sizes, miss, *stats, vocab])
+    terms = source_terms(clean, findings, by, langs)
+    vocab = _long(terms.groupBy(by).agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("n").alias("total_tokens")),
+                  [by], ["vocabulary", "total_tokens"], "vocabulary")
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), "term"))
+    top = terms.withColumn("_rank", rank).filter(F.col("_rank") <= k).select(
+        F.lit("top_words").alias("section"), by, F.col("term").alias("metric"), F.col("n").cast("double").alias("value"))
+    return reduce(lambda a, b: a.unionByName(b), [sizes, miss, *stats, vocab, top])
 
 
 def feature_overlap(df: DataFrame, cols, by: str = "dataset_source", edges: int = 40) -> DataFrame:

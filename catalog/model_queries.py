@@ -83,13 +83,13 @@ def _(spark, sf):
 def _(spark, sf):
     coded, _ = models.index_labels(models.term_column(reports(spark, sf).select("uid", "condition", "findings"), "findings"), "condition")
     d = models.with_class_weight(coded, "label").cache()
-    return _summary(models.text_classifier(d.count(), max_iter=30).fit(d).transform(d))
+    return _summary(models.text_classifier(d.count()).fit(d).transform(d))
 
 
 @query("ev1_cross_validate")
 def _(spark, sf):
     d = quality_rows(spark, sf)
-    return rounded(models.cross_validate(models.cross_val_predict(d, models.logistic(d.count(), max_iter=30), 5), "logistic"))
+    return rounded(models.cross_validate(models.cross_val_predict(d, models.logistic(d.count()), 5), "logistic"))
 
 
 @query("ev2_out_of_fold")

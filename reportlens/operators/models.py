@@ -52,7 +52,7 @@ def feature_pipeline(out: str = "scaled") -> Pipeline:
     return Pipeline(stages=[StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol=out)])
 
 
-def logistic(n_rows: int, c: float = 1.0, max_iter: int = 100, scale: bool = True, weight: str | None = "class_weight"):
+def logistic(n_rows: int, c: float = 1.0, max_iter: int = 1000, scale: bool = True, weight: str | None = "class_weight"):
     """L2 logistic regression; the penalty is 1 / (C * n) per row."""
     lr = LogisticRegression(featuresCol="scaled" if scale else "features", labelCol="label", maxIter=max_iter,
                             regParam=1.0 / (c * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
@@ -80,7 +80,7 @@ def boosted(rounds: int = 200, depth: int = 6, rate: float = 0.1, subsample: flo
     return ovr.setWeightCol(weight) if weight else ovr
 
 
-def text_classifier(n_rows: int, stop_words=(), max_iter: int = 100, weight: str | None = "class_weight", vocab: int = 5000):
+def text_classifier(n_rows: int, stop_words=(), max_iter: int = 2000, weight: str | None = "class_weight", vocab: int = 5000):
     """Word 1-2-gram TF-IDF with multinomial logistic regression over an array
     column ``terms`` (see ``term_column``)."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=1.0 / max(n_rows, 1),

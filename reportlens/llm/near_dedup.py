@@ -3,15 +3,17 @@
 1. Each text becomes its set of 5-word shingles and ``TREES`` x ``DEPTH`` min-hashes. Equal sets fold into one node.
 2. Each tree is a sorted order of the nodes by its min-hashes. Nodes that share the first ``SHALLOW`` hashes of a tree
    form a region. A region of at most ``CROWDED`` nodes offers all its pairs; a larger one is divided by the next hash,
-   down to ``DEPTH``, and neighbours across the division are offered too. What is still crowded at full depth is linked
-   to its neighbours in the order and to the node that sits in the most crowded leaves over all trees (the text the
-   others are edits of), in linear work.
-3. Offered pairs are confirmed on the full sets, at first only each node's most often offered partner, then all offered
+   down to ``DEPTH``, and neighbours across the division are offered too.
+3. Leaves still crowded at full depth that share nodes form a crowd, and every link of a crowd is found. Its nodes are
+   written as their differences from what most of them hold. Two nodes with few enough differences are linked whatever
+   these are, and then also to the node with the fewest; any other linked pair has a difference in common, and one among
+   the rarest of both (prefix filter), so that only nodes that share a rare difference are compared.
+4. Offered pairs are confirmed on the full sets, at first only each node's most often offered partner, then all offered
    pairs between different components. Nothing is dropped; links that lie inside a component need no confirmation.
 
 At a similarity of 0.85 a pair shares 3 hashes in a tree with p = 0.61, so that all 20 trees miss it with p = 5e-9, and
-6 hashes with p = 0.38: in the most crowded regions 20 trees miss one given pair with p = 8e-5, far less if any third
-text joins both.
+6 hashes with p = 0.38: where regions are divided, 20 trees miss one given pair with p = 8e-5. A pair whose nodes are in
+one crowd is not missed.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from reportlens.llm.shingles import min_hashes, mix, multipliers, set_digest, sh
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
-TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK = 20, 3, 6, 64, 5, 64
+TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK, SQUARE = 20, 3, 6, 64, 5, 64, 256
 _BITS = 21
 
 
@@ -63,7 +65,6 @@ def _descend(lo, rid, depth, pairs, leaves):
     if len(rid) <= CROWDED:
         _all_pairs(rid, pairs)
     elif depth == DEPTH:
-        pairs.append((rid[:-1], rid[1:]))
         leaves.append((lo, rid))
     else:
         cut = np.flatnonzero(np.diff(lo >> np.int64(_BITS * (DEPTH - depth - 1)))) + 1
@@ -148,10 +149,9 @@ def _confirm(batches):
                                          ["a", "b", "common", "all"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, common, all) for ``pairs`` (a, b) of node ids: sizes of the
-    intersection and the union of their full shingle sets. The text of b
-    travels once for ``BLOCK`` partners."""
+def _beside(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of ``pairs`` (a, b) of node ids, sorted into groups: b (role
+    0), then its partners. The text of b travels once for ``BLOCK`` partners."""
     many = cut_lineage(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
                        .select(F.col("b").alias("_b"), F.ceil(F.col("n") / BLOCK).alias("_n")))
     dealt = pairs.join(many, F.col("b") == F.col("_b"), "left").select(
@@ -163,11 +163,127 @@ def confirm(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     t = texts.select(F.col("doc_id").alias("_doc"), "text")
     # Repeated rows of one document would travel once per copy.
     rows = want.join(t, want["first"].eqNullSafe(t["_doc"])).select("b", "salt", "role", "rid", "digest", "text")
-    dealt_out = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", "role", "rid")
-    return dealt_out.mapInArrow(_confirm, "a long, b long, common long, all long").distinct()
+    return rows.repartition("b", "salt").sortWithinPartitions("b", "salt", "role", "rid")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, common, all) for ``pairs`` (a, b) of node ids: sizes of the
+    intersection and the union of their full shingle sets."""
+    return _beside(pairs, sets, texts).mapInArrow(_confirm, "a long, b long, common long, all long").distinct()
 
 
-def _offers(sets: DataFrame) -> DataFrame:
+def _apart(batches):
+    """Groups arrive as a hub (role 0) and its partners; the shingles that only one of both has."""
+    hub = hub_set = None
+    for batch in batches:
+        out = []
+        for b, salt, role, rid, digest, text in zip(*(c.to_pylist() for c in batch.columns[:5]),
+                                                    batch.column(5).cast(pa.binary()).to_pylist()):
+            if hub == (b, salt) and role == 0:
+                continue
+            s = shingle_set(text, SHINGLE)
+            if set_digest(s) != digest:
+                continue
+            if role == 0:
+                hub, hub_set = (b, salt), s
+            elif hub == (b, salt):
+                out.append((b, rid, len(s), np.setxor1d(s, hub_set, assume_unique=True).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*(pa.array([o[k] for o in out], pa.int64()) for k in range(3)),
+                                          pa.array([o[3] for o in out], pa.list_(pa.int64()))], ["crowd", "rid", "n", "unlike"])
+
+
+def _forest_of(rid, over, close, held, unit):
+    """Links (a, b) that connect whatever the links among these nodes connect; close nodes are connected already."""
+    at = np.unique(np.concatenate(held), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(rid)), [len(h) for h in held])
+    many = np.bincount(at) > 1
+    at, row = (np.cumsum(many) - 1)[at[many[at]]], row[many[at]]
+    has = np.zeros((len(rid), many.sum()), np.float32)
+    has[row, at] = 1
+    over, close = np.array(over), np.array(close)
+    linked = (over[:, None] + over <= unit * (has @ has.T).astype(np.int64)) | (close[:, None] & close)
+    links, new = [], np.ones(len(rid), bool)
+    for i in range(len(rid)):
+        todo = [i] if new[i] else []
+        new[i] = False
+        while todo:
+            k = todo.pop()
+            found = np.flatnonzero(linked[k] & new)
+            new[found] = False
+            todo += found.tolist()
+            links += [(min(rid[k], rid[m]), max(rid[k], rid[m])) for m in found if not (close[k] and close[m])]
+    return links
+
+
+def _squares(unit):
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            out = []
+            for *now, rid, over, close, held in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != key:
+                    out += _forest_of(*zip(*rows), unit) if len(rows) > 1 else []
+                    key, rows = now, []
+                rows.append((rid, over, close, np.array(held, np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])
+        out = _forest_of(*zip(*rows), unit) if len(rows) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])
+    return run
+
+
+def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all nodes of ``leaf`` (tree, hi, lo, rid) that links inside a crowd connect.
+
+    With ``over`` = (100 + percent) * differences - (100 - percent) * shingles
+    of a node, two nodes are linked exactly if the sum of their ``over`` is at
+    most 2 * (100 + percent) * their common differences.
+    """
+    unit = 2 * (100 + percent)
+    score = leaf.groupBy("rid").agg(F.count(F.lit(1)).alias("score"))
+    any_of = leaf.groupBy("tree", "hi", "lo").agg(F.min("rid").alias("b"))
+    roots = components(leaf.join(any_of, ["tree", "hi", "lo"]).select(F.col("rid").alias("a"), "b"))
+    roots = cut_lineage(roots.join(score, F.col("id") == F.col("rid")).select("root", "rid", "score"))
+    head = roots.groupBy("root").agg(F.max_by("rid", F.struct("score", -F.col("rid"))).alias("b"))
+    told = roots.join(head, "root").select(F.col("rid").alias("a"), "b")
+    apart = cut_lineage(_beside(told, sets, texts).mapInArrow(_apart, "crowd long, rid long, n long, unlike array<long>")
+                        .dropDuplicates(["rid"]))
+    size = apart.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"))
+    usual = apart.select("crowd", F.explode("unlike").alias("x")).groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("k"))
+    usual = cut_lineage(usual.join(size, "crowd").where("2 * k > size").groupBy("crowd").agg(F.collect_list("x").alias("usual")))
+    common = F.coalesce("usual", F.array().cast("array<long>"))
+    unlike = F.concat(F.array_except("unlike", common), F.array_except(common, "unlike"))
+    nodes = apart.join(usual, "crowd", "left").select("crowd", "rid", "n", unlike.alias("unlike"))
+    nodes = nodes.withColumn("over", (100 + percent) * F.size("unlike").cast("long") - (100 - percent) * F.col("n"))
+    nodes = cut_lineage(nodes.drop("n"))
+    least = nodes.groupBy("crowd").agg(F.min(F.struct("over", "rid")).alias("least"), F.max("over").alias("most"))
+    least = cut_lineage(least.select("crowd", F.col("least.over").alias("least"), F.col("least.rid").alias("first"), "most"))
+    nodes = nodes.join(least, "crowd").withColumn("close", F.col("over") + F.col("least") <= 0)
+    star = nodes.where("close and rid <> first").select(F.least("rid", "first").alias("a"), F.greatest("rid", "first").alias("b"))
+    nodes = nodes.where("most + least > 0")  # else all are close
+    need = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("least")) / unit))
+    nodes = cut_lineage(nodes.withColumn("prefix", F.size("unlike") - need + 1).where("prefix > 0")
+                        .select("crowd", "rid", "over", "close", "prefix", "unlike"))
+    each = nodes.select("crowd", "rid", F.explode("unlike").alias("x"))
+    k = each.groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    held = each.join(k, ["crowd", "x"]).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("held"))
+    nodes = nodes.join(held, "rid")
+    single = F.size("unlike") - F.size("held")  # the rarest: no other node has them
+    nodes = cut_lineage(nodes.withColumn("prefix", F.col("prefix") - single).where("prefix > 0").select(
+        "crowd", "rid", "over", "close", F.col("held.x").alias("held"), F.slice(F.col("held.x"), F.lit(1), F.col("prefix").cast("int")).alias("prefix")))
+    rows = nodes.select("crowd", "rid", "close", F.explode("prefix").alias("x"))
+    met = rows.groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("m"), F.min("close").alias("all_close")).where("m > 1 and not all_close")
+    rows = cut_lineage(rows.join(met.drop("all_close"), ["crowd", "x"]).select("crowd", "x", "rid", F.ceil(F.col("m") / SQUARE).alias("m")))
+    # Nodes that share a difference are dealt into parts; each two parts meet in a task of their own.
+    part = F.pmod(F.xxhash64("rid"), F.col("m"))
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    rows = rows.select("crowd", "x", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid")
+    rows = rows.join(nodes.select("rid", "over", "close", "held"), "rid").select("crowd", "x", "i", "j", "rid", "over", "close", "held")
+    square = ["crowd", "x", "i", "j"]
+    links = rows.repartition(*square).sortWithinPartitions(*square).mapInArrow(_squares(unit), "a long, b long")
+    return cut_lineage(star.unionByName(links))
+
+
+def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of the forest: (a, b, votes)."""
     trees = sets.select("rid", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select(F.col("tree").cast("long").alias("tree"), F.col("keys")[2 * F.col("tree")].alias("hi"),
@@ -185,12 +301,9 @@ def _offers(sets: DataFrame) -> DataFrame:
     seams = cut.groupBy("tree", "hi").applyInPandas(joined, made)
     found = found.where("kind < 2").unionByName(seams)
     leaf = cut_lineage(found.where("kind = 1").select("tree", "hi", "lo", F.col("a").alias("rid")).distinct())
-    score = leaf.groupBy("rid").agg(F.count(F.lit(1)).alias("score"))
-    head = cut_lineage(leaf.join(score, "rid").groupBy("tree", "hi", "lo").agg(
-        F.max_by("rid", F.struct("score", -F.col("rid"))).alias("head")))
-    star = leaf.join(head, ["tree", "hi", "lo"]).where("rid <> head").select(
-        F.least("rid", "head").alias("a"), F.greatest("rid", "head").alias("b"))
-    pairs = found.where("kind = 0").select("a", "b").unionByName(star)
+    pairs = found.where("kind = 0").select("a", "b")
+    if not leaf.isEmpty():
+        pairs = pairs.unionByName(_crowd_links(leaf, sets, texts, percent))
     return cut_lineage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")))
 
 
@@ -209,8 +322,8 @@ def near_decisions(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = cut_lineage(seen.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("keys").alias("keys")))
     sets = cut_lineage(sets.withColumn("rid", F.monotonically_increasing_id()))
-    offers = _offers(sets)
     texts = docs.select("doc_id", "text")
+    offers = _offers(sets, texts, percent)
 
     def linked(sizes):
         return sizes.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")

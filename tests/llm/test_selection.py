@@ -61,6 +61,23 @@ def test_crowded_regions_lose_no_link(spark, monkeypatch):
     assert got == near_components(rows)
 
 
+def test_linked_pairs_among_unlinked_texts_of_one_template(spark, monkeypatch):
+    """All texts end in words of their own, any two are 0.848 alike; partners have two of these in common and are 0.861 alike."""
+    rng = random.Random(8)
+    base, texts = words(rng, 250), []
+    for i in range(200):
+        for k in range(2 if i < 60 else 1):
+            texts.append(" ".join(base + [f"e{i}x{n}" for n in range(2)] + [f"e{i}x{n}x{k}" for n in range(20)]))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = near_components(rows)
+    assert len({c for _, c in want.values()}) == 200
+    monkeypatch.setattr(near_dedup, "CROWDED", 16)
+    monkeypatch.setattr(near_dedup, "SQUARE", 16, raising=False)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_decisions(frame(spark, rows).repartition(5)).collect()}
+    assert got == want
+
+
 def test_near_ties_repeats_nulls(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A B c d e f"), (None, "a b c d e f"), (None, None), (7, "")]
     got = sorted(map(tuple, near_decisions(frame(spark, rows)).collect()), key=str)

@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the driver's tables, with SQL where it can express them."""
+"""The queries of the operators over the driver's tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from reportlens.llm.packing import pack_documents
 from reportlens.llm.passage_dedup import repeated_passages
 from reportlens.llm.quality_rules import quality_decisions
 from reportlens.llm.sharding import assign_shards
+from reportlens.llm.suffix_dedup import removal_decisions
 from reportlens.llm.toxicity import toxicity_scores
 from reportlens.llm.url_filter import judge_urls
 
@@ -128,3 +129,8 @@ def op6_language_id(spark, sf_dir):
 @_query("op5_compact_windows")
 def op5_compact_windows(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_suffix_dedup")
+def op12_suffix_dedup(spark, sf_dir):
+    return removal_decisions(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reportlens.llm.common import n_words, table
 from reportlens.llm.exact_dedup import exact_decisions
+from reportlens.llm.hard_negatives import hard_negatives, prepare, shifted_labels
 from reportlens.llm.language_id import predict_languages
 from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
@@ -134,3 +135,20 @@ def op5_compact_windows(spark, sf_dir):
 @_query("op12_suffix_dedup")
 def op12_suffix_dedup(spark, sf_dir):
     return removal_decisions(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+      FROM e a JOIN e r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+      row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives(shifted_labels(prepare(table(spark, sf_dir, "embeddings"))))

@@ -12,6 +12,7 @@ from reportlens.llm.mixing import mix_decisions
 from reportlens.llm.near_dedup import near_decisions
 from reportlens.llm.packing import pack_documents
 from reportlens.llm.passage_dedup import repeated_passages
+from reportlens.llm.prefix_trie import conversation_nodes
 from reportlens.llm.quality_rules import quality_decisions
 from reportlens.llm.sharding import assign_shards
 from reportlens.llm.suffix_dedup import removal_decisions
@@ -152,3 +153,30 @@ n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
 def op13_hard_negatives(spark, sf_dir):
     return hard_negatives(shifted_labels(prepare(table(spark, sf_dir, "embeddings"))))
+
+
+@_query("op11_prefix_trie", """
+WITH t AS (SELECT conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS b,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                  md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS r
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(conv_id::VARCHAR) + 1),
+             lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT)),
+             lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda u, v: xor(u >> 1, 3988292384 * (u & 1))))) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (SELECT c.conv_id, 0 AS own, r, k, b FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND r <= h
+      UNION ALL SELECT c.conv_id, 1, r, k, b FROM c JOIN t ON t.conv_id = c.conv_id AND r > h),
+p AS (SELECT conv_id, row_number() OVER w AS d, md5(string_agg(k, '') OVER w) AS node, b FROM s
+      WINDOW w AS (PARTITION BY conv_id ORDER BY own, r)
+      UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+m AS (SELECT *, lag(node) OVER w AS up, lead(node) OVER w AS below FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+n AS (SELECT node, d AS depth, min(conv_id) AS conv_id, any_value(up) AS up, any_value(b) AS b, count(*) AS n_convs,
+             count(DISTINCT below) AS n_children,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (below IS NULL), '')) AS ends_sha256
+      FROM m GROUP BY 1, 2),
+u AS (SELECT p.node, sum((n.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n.n_convs - 1) * n.b)::BIGINT AS saved_tokens
+      FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.depth GROUP BY 1)
+SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, n.n_children, u.n_leaves, u.saved_tokens, n.ends_sha256
+FROM n JOIN u ON u.node = n.node LEFT JOIN n o ON o.node = n.up""")
+def op11_prefix_trie(spark, sf_dir):
+    return conversation_nodes(table(spark, sf_dir, "conversations"))

@@ -26,6 +26,24 @@ def test_first_source_profile_and_log(spark):
     assert (r["initial"], r["final"], r["retained_pct"]) == (5, 2, 40.0)
 
 
+def test_log_of_a_step_that_compares_rows(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    raw = spark.createDataFrame([
+        (1, text, "", None, ""), (1, "another text of the same report", "", None, ""), (2, "", "", None, ""),
+        (3, f"{text} {text}", "", None, ""),  # as the first
+        (4, "ab cd", "", None, ""), (5, "entirely different words in here", "", None, ""), (5, text, "", None, "")], FIRST)
+    raw = raw.withColumn("seq", F.monotonically_increasing_id())
+    steps = cleaning.profile_steps("en_v2", "seq", stop_words=["zz"])
+    log = cleaning.cleaning_log(raw, steps, "seq").orderBy("step_no").collect()
+    assert [(r["step"], r["records"], r["removed"]) for r in log] == [
+        ("Raw input", 7, 0), ("Drop both-empty", 6, 1), ("Remove duplicates", 3, 3), ("Filter malformed", 2, 1)]
+    assert log[2]["reason"] == "uid exact + TF-IDF cosine > 0.95"
+    kept = cleaning.clean_reports(raw, "en_v2", order="seq", stop_words=["zz"])
+    assert sorted(r["uid"] for r in kept.collect()) == [1, 5]
+    plain = cleaning.cleaning_log(raw, cleaning.profile_steps("en_v2", near_duplicates=False), "seq").orderBy("step_no").collect()
+    assert [r["removed"] for r in plain] == [0, 1, 2, 1]
+
+
 def test_second_source_profiles(spark):
     raw = spark.createDataFrame([
         (0, 10, "057Y", "male", "Aspect normal du poumon droit/gauche", "RAS stable ici", "None"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import random
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -38,27 +37,35 @@ def top_features(importance: DataFrame, m: int, by: str = "importance") -> list[
     return [r["feature"] for r in top_n(importance, by, m, tie="feature").collect()]
 
 
+def _shuffled(long: DataFrame, key: str, draw: str, seed: int, keep):
+    """(takers, givers) of the rows of every draw, ranked by two different
+    hashes; a giver's vector is called y."""
+    def ranked(frame, side):
+        return ordered.distributed_rank(frame, F.xxhash64(F.lit(seed + side), F.col(draw), F.col(key)), [draw])
+    givers = ranked(long.select(key, draw, F.col("x").alias("y")), 1)
+    return ranked(long.select(key, draw, *keep), 0), givers.select(draw, "rank", "y")
+
+
 def permutation_importance(model, df: DataFrame, cols, repeats: int = 5, seed: int = 42, key: str = "uid") -> DataFrame:
     """(feature, importance, std): mean and std of the accuracy drop when one
     feature's values are shuffled among the rows.
 
-    The shuffle is a re-join: rows are ranked by one hash and take the value of
-    the row with the same rank under another, so nothing is collected. All
-    (feature, repeat) variants of a row are scored in one transform.
+    The shuffle is a re-join, for all repeats at once: in every repeat a row is
+    ranked by one hash and takes the value of the row with the same rank under
+    another, so nothing is collected. All variants of a row are scored in one
+    transform. The plan is the same for any number of repeats.
     """
     base = cut_lineage(df.select(key, "label", vector_to_array("features").alias("x")))
     n = len(cols)
-    shuffled = base.select(key, "label", "x")
-    for r in range(repeats):
-        takers = ordered.distributed_rank(shuffled, F.xxhash64(F.lit(seed + 2 * r), F.col(key)))
-        givers = ordered.distributed_rank(base.select(key, F.col("x").alias(f"y{r}")), F.xxhash64(F.lit(seed + 2 * r + 1), F.col(key)))
-        shuffled = takers.join(givers.select("rank", f"y{r}"), "rank").drop("rank")
-    variants = ["struct(-1 AS f, 0 AS r, x AS v)"]
-    for r in range(repeats):
-        for f in range(n):
-            v = ", ".join(f"{f'y{r}' if i == f else 'x'}[{i}]" for i in range(n))
-            variants.append(f"struct({f} AS f, {r} AS r, array({v}) AS v)")
-    rows = shuffled.selectExpr("label", f"inline(array({', '.join(variants)}))").withColumn("features", array_to_vector("v"))
+    long = base.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    takers, givers = _shuffled(long, key, "r", seed, ["label", "x"])
+    pairs = takers.join(givers, ["r", "rank"])
+
+    def variant(f):
+        return F.struct(f.alias("f"), F.transform("x", lambda v, i: F.when(i == f, F.get("y", i)).otherwise(v)).alias("v"))
+    variants = pairs.select("label", "r", F.inline(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), variant)))
+    rows = base.select("label", F.lit(0).alias("r"), F.lit(-1).alias("f"), F.col("x").alias("v")).unionByName(variants)
+    rows = rows.withColumn("features", array_to_vector("v"))
     acc = model.transform(rows).groupBy("f", "r").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc"))
     acc = cut_lineage(acc)  # one row per variant
     whole = acc.filter("f = -1").select("acc").scalar()
@@ -74,28 +81,27 @@ def shapley_sample(model, df: DataFrame, cols, orders: int = 4, seed: int = 42,
     table (its background). Features switch from background to own values one by
     one in that order; the change of the prediction at each switch belongs to
     the feature switched. The changes of one order add up to f(row) - f(background).
+    All orders are rows of one table: each prediction on a walk counts for the
+    feature just switched and against the next one, so that walks need not be
+    put together again and the plan is the same for any number of orders.
     """
     base = cut_lineage(df.select(key, vector_to_array("features").alias("x")))
-    n, steps = len(cols), []
-    paired = base
-    for o in range(orders):
-        takers = ordered.distributed_rank(paired, F.xxhash64(F.lit(seed + 2 * o), F.col(key)))
-        givers = ordered.distributed_rank(base.select(key, F.col("x").alias(f"b{o}")), F.xxhash64(F.lit(seed + 2 * o + 1), F.col(key)))
-        paired = takers.join(givers.select("rank", f"b{o}"), "rank").drop("rank")
-        order = random.Random(seed * 1000 + o).sample(range(n), n)
-        for step in range(n + 1):
-            own = set(order[:step])
-            v = ", ".join(f"{'x' if i in own else f'b{o}'}[{i}]" for i in range(n))
-            steps.append(f"struct({o} AS o, {step} AS step, {order[step - 1] if step else -1} AS f, array({v}) AS v)")
-    rows = paired.selectExpr(key, f"inline(array({', '.join(steps)}))").withColumn("features", array_to_vector("v"))
-    scored = model.transform(rows).select(key, "o", "step", "f", vector_to_array("probability")[positive].alias("p"))
-    walk = scored.groupBy(key, "o").agg(F.sort_array(F.collect_list(F.struct("step", "f", "p"))).alias("w"))
-    # n + 1 entries per row and order: the list is bounded by the feature count.
-    deltas = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(
-        F.element_at("w", i + 1)["f"].alias("f"), (F.element_at("w", i + 1)["p"] - F.element_at("w", i)["p"]).alias("d")))
+    n = len(cols)
+    long = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))))
+    takers, givers = _shuffled(long, key, "o", seed, ["x"])
+    features = F.sequence(F.lit(0), F.lit(n - 1))
+    # The order of an o is that of the hashes of its features.
+    drawn = F.array_sort(F.transform(features, lambda f: F.struct(F.xxhash64(F.lit(seed), F.col("o"), f).alias("h"), f.alias("f"))))
+    walks = takers.join(givers, ["o", "rank"]).withColumn("order", drawn).withColumn("order", F.col("order.f"))
+    steps = walks.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    own = F.transform("x", lambda v, i: F.when(F.array_position("order", i) <= F.col("step"), v).otherwise(F.get("y", i)))
+    scored = model.transform(steps.withColumn("features", array_to_vector(own))).select(
+        key, F.get("order", F.col("step") - 1).alias("switched"), F.get("order", F.col("step")).alias("next"),
+        vector_to_array("probability")[positive].alias("p"))
+    changes = scored.select(key, F.inline(F.array(F.struct(F.col("switched").alias("f"), F.col("p").alias("d")),
+                                                  F.struct(F.col("next").alias("f"), (-F.col("p")).alias("d"))))).filter("f IS NOT NULL")
     names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("f") + 1)
-    return walk.select(key, F.inline(deltas)).groupBy(key, "f").agg((F.sum("d") / orders).alias("attribution")).select(
-        key, names.alias("feature"), "attribution")
+    return changes.groupBy(key, "f").agg((F.sum("d") / orders).alias("attribution")).select(key, names.alias("feature"), "attribution")
 
 
 def mean_abs_attribution(attributions: DataFrame) -> DataFrame:

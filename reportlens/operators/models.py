@@ -6,15 +6,19 @@ read off its out-of-fold predictions.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import CountVectorizer, IDF, Normalizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from reportlens.operators import corpus, evaluate, splits
+from reportlens.operators.boosting import SoftmaxBoosting
 from reportlens.session import cut_lineage
 
 
@@ -69,15 +73,13 @@ def forest(trees: int = 300, depth: int = 15, seed: int = 42, min_leaf: int = 1,
 
 def boosted(rounds: int = 200, depth: int = 6, rate: float = 0.1, subsample: float = 0.8, columns: str = "0.8",
             classes: int = 2, seed: int = 42, weight: str | None = "class_weight"):
-    """Gradient-boosted trees; more than two classes go one against the rest."""
+    """Gradient-boosted trees; several classes share one softmax objective, on
+    all rows and features and without class weights."""
+    if classes > 2:
+        return SoftmaxBoosting(classes, rounds, depth, rate, seed=seed)
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=rate,
                         subsamplingRate=subsample, featureSubsetStrategy=columns, seed=seed)
-    if weight and classes == 2:
-        gbt = gbt.setWeightCol(weight)
-    if classes == 2:
-        return gbt
-    ovr = OneVsRest(classifier=gbt, labelCol="label", featuresCol="features", rawPredictionCol="rawPrediction", parallelism=4)
-    return ovr.setWeightCol(weight) if weight else ovr
+    return gbt.setWeightCol(weight) if weight else gbt
 
 
 def text_classifier(n_rows: int, stop_words=(), max_iter: int = 2000, weight: str | None = "class_weight", vocab: int = 5000):
@@ -101,19 +103,49 @@ def prepare(df: DataFrame, cols, label: str, mode: str = "balanced") -> DataFram
     return with_class_weight(assemble(coded, cols), "label", mode)
 
 
-def cross_val_predict(df: DataFrame, estimator, k: int, key: str = "uid", label: str = "label", seed: int = 42) -> DataFrame:
+def _concurrently(spark, work, items, at_once: int):
+    """``work`` of every item, ``at_once`` at a time. If one fails, the jobs of the others are cancelled."""
+    sc, tag = spark.sparkContext, f"fits-{uuid.uuid4().hex}"
+
+    def tagged(item):
+        sc.addJobTag(tag)
+        try:
+            return work(item)
+        finally:
+            sc.removeJobTag(tag)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(tagged), i) for i in items]
+        try:
+            for f in as_completed(futures):
+                f.result()
+        except BaseException:
+            for f in futures:
+                f.cancel()
+            sc.cancelJobsWithTag(tag)
+            raise
+    return [f.result() for f in futures]
+
+
+def cross_val_predict(df: DataFrame, estimator, k: int, key: str = "uid", label: str = "label", seed: int = 42,
+                      at_once: int = 4) -> DataFrame:
     """Out-of-fold predictions: key, label, fold, prediction, probability array.
 
-    The folded input is written once, so the k fits do not redo the text work.
+    Folds are dealt on keys and labels alone; rows that repeat a key share its
+    fold. The folded input is written once and ``at_once`` of the k fits run at
+    the same time.
     """
-    folded = cut_lineage(splits.assign_folds(df, label, k, seed, key))
+    df = cut_lineage(df)
+    folds = splits.assign_folds(df.select(key, label).dropDuplicates([key]), label, k, seed, key).select(F.col(key).alias("_key"), "fold")
+    folded = cut_lineage(df.join(folds, F.col(key).eqNullSafe(F.col("_key"))).drop("_key"))
+
+    def fit(i):
+        return estimator.fit(folded.filter(F.col("fold") != i))
+
     parts = []
-    for i in range(k):
-        model = estimator.fit(folded.filter(F.col("fold") != i))
+    for i, model in enumerate(_concurrently(df.sparkSession, fit, range(k), at_once)):
         out = model.transform(folded.filter(F.col("fold") == i))
-        prob = "probability" if "probability" in out.columns else None
-        p = vector_to_array(prob) if prob else F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
-        parts.append(out.select(key, label, "fold", "prediction", p.alias("probability")))
+        parts.append(out.select(key, label, "fold", "prediction", vector_to_array("probability").alias("probability")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

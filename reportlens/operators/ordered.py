@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reportlens.session import cut_lineage
+
 _SPLITS = 1023  # cuts between buckets
 
 
@@ -33,14 +35,23 @@ def value_bucket(value: str, splits: str) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(F.col(splits), at + step - 1) <= v, at + step).otherwise(at))
 
 
+def kept_splits(df: DataFrame, value: str) -> Column:
+    """``value_splits`` found once and kept in a table of one row, for any number of uses."""
+    return cut_lineage(df.sparkSession.range(1).select(value_splits(df, value).alias("cuts"))).select("cuts").scalar()
+
+
 def running_sums(df: DataFrame, value: str, sums, by=(), descending: bool = False, totals: bool = True,
-                 splits: Column | None = None) -> DataFrame:
+                 splits: Column | None = None, written: bool = False) -> DataFrame:
     """Running sums over the distinct values of ``value`` within ``by``.
 
     ``df`` holds one row per (by, value); ``sums`` are numeric columns. Adds
     ``cum_<s>`` (value included) and, if asked, ``total_<s>`` over the group.
-    ``splits``, an array of cuts, saves the look for them in repeated calls.
+    The counted rows are read for the cuts, the bucket totals and the sums, so
+    they are written first unless they are ``written`` already. ``splits``, an
+    array of cuts (see ``kept_splits``), saves the look for them in repeated
+    calls.
     """
+    df = df if written else cut_lineage(df)
     by, sums = list(by), list(sums)
     # A struct compares equal with its nulls, so that one exchange by group and bucket serves windows and join alike.
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
@@ -76,26 +87,45 @@ def value_counts_long(df: DataFrame, cols, by=(), positive_only: bool = False) -
     return long.groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _quantile_parts(probs):
+    """(aggregates over ranked counts, result columns) of interpolated quantiles."""
+    lo_rank, hi_rank = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1  # zero-based
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("total_n") - 1)
+        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when((lo_rank <= place) & (hi_rank >= place), F.col("value"))).alias(f"_{side}_{i}"))
+        pos, lo, hi = F.lit(float(p)) * (F.col("n") - 1), F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
+        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(f"q_{i}"))
+    return aggs, out
+
+
 def quantiles_of_counts(counts: DataFrame, probs, by=("metric",)) -> DataFrame:
     """Linearly interpolated quantiles from (by, value, n) rows.
 
     Output: by, n, and one ``q_<i>`` column per probability.
     """
     by = list(by)
-    ranked = running_sums(counts, "value", ["n"], by)
-    lo_rank, hi_rank = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1  # zero-based
-    aggs = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("total_n") - 1)
-        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            aggs.append(F.max(F.when((lo_rank <= at) & (hi_rank >= at), F.col("value"))).alias(f"_{side}_{i}"))
-    found = ranked.groupBy(*by).agg(F.max("total_n").alias("n"), *aggs)
-
-    def value(i, p):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
-        return (lo + (hi - lo) * (pos - F.floor(pos))).alias(f"q_{i}")
-    return found.select(*by, "n", *[value(i, p) for i, p in enumerate(probs)])
+    aggs, out = _quantile_parts(probs)
+    found = running_sums(counts, "value", ["n"], by).groupBy(*by).agg(F.max("total_n").alias("n"), *aggs)
+    return found.select(*by, "n", *out)
+
+
+def summary_of_counts(counts: DataFrame, probs, by=("metric",)) -> DataFrame:
+    """Like ``quantiles_of_counts``, with mean, sample std, min, max, population
+    skewness and excess kurtosis from the same rows. The running sums bring the
+    total of a group to each of its rows, so that moments are central ones."""
+    by = list(by)
+    aggs, out = _quantile_parts(probs)
+    run = running_sums(counts.withColumn("nv", F.col("n") * F.col("value")), "value", ["n", "nv"], by)
+    gap = F.col("value") - F.col("total_nv") / F.col("total_n")
+    central = [F.sum(F.col("n") * gap ** k).alias(f"_m{k}") for k in (2, 3, 4)]
+    found = run.groupBy(*by).agg(F.max("total_n").alias("n"), (F.sum("nv") / F.sum("n")).alias("mean"), F.min("value").alias("min"),
+                                 F.max("value").alias("max"), *central, *aggs)
+    n, m2 = F.col("n"), F.col("_m2") / F.col("n")
+    return found.select(*by, "n", "mean", F.sqrt(F.col("_m2") / F.nullif(n - 1, F.lit(0))).alias("std"), "min", "max",
+                        (F.col("_m3") / n / F.nullif(m2, F.lit(0.0)) ** 1.5).alias("skewness"),
+                        (F.col("_m4") / n / F.nullif(m2, F.lit(0.0)) ** 2 - 3).alias("kurtosis"), *out)
 
 
 def quantiles(df: DataFrame, cols, probs, by=(), positive_only: bool = False) -> DataFrame:

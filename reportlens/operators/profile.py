@@ -76,16 +76,14 @@ def section_presence(df: DataFrame, findings: str = "findings", impression: str
 
 # -------------------------------------------------------- numeric summaries
 
+def _described(df: DataFrame, cols, by, positive_only: bool) -> DataFrame:
+    counts = ordered.value_counts_long(df, cols, by, positive_only)
+    return ordered.summary_of_counts(counts, QUARTILES, [*by, "metric"]).withColumnsRenamed({"q_0": "q25", "q_1": "median", "q_2": "q75"})
+
+
 def describe_numeric(df: DataFrame, cols, by=(), positive_only: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column (and group)."""
-    counts = ordered.value_counts_long(df, cols, by, positive_only)
-    keys = [*by, "metric"]
-    q = ordered.quantiles_of_counts(counts, QUARTILES, keys).withColumnsRenamed(
-        {"q_0": "q25", "q_1": "median", "q_2": "q75"}).drop("n")
-    m = ordered.melt(df, cols, by, positive_only=positive_only).groupBy(*keys).agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    return m.join(q, keys)
+    return _described(df, cols, by, positive_only).select(*by, "metric", "n", "mean", "std", "min", "max", "q25", "median", "q75")
 
 
 def numeric_summary(df: DataFrame, col: str) -> DataFrame:
@@ -100,10 +98,9 @@ def length_summary(df: DataFrame, cols=("findings_words", "impression_words"), b
 def distribution_properties(df: DataFrame, cols) -> DataFrame:
     """Describe plus population skewness, excess kurtosis and IQR, over the
     positive values."""
-    d = describe_numeric(df, cols, positive_only=True)
-    shape = ordered.melt(df, cols, positive_only=True).groupBy("metric").agg(
-        F.skewness("value").alias("skewness"), F.kurtosis("value").alias("kurtosis"))
-    return d.join(shape, "metric").withColumn("iqr", F.col("q75") - F.col("q25"))
+    d = _described(df, cols, (), True)
+    return d.select("metric", "n", "mean", "std", "min", "max", "q25", "median", "q75", "skewness", "kurtosis",
+                    (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
 def percentile_table(df: DataFrame, cols, ps=(5, 10, 25, 50, 75, 90, 95, 99)) -> DataFrame:

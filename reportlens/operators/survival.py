@@ -7,7 +7,10 @@ import warnings
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reportlens.operators import ordered
+from reportlens.operators import ordered, stats
+from reportlens.session import cut_lineage, drop_table
+
+RISK_GROUPS = ("Low", "Med-Low", "Med-High", "High")
 
 
 def surrogate_survival(df: DataFrame, severity: str = "F22_composite_severity", event: str = "F25_is_abnormal",
@@ -44,6 +47,7 @@ def cox_fit(df: DataFrame, time: str, event: str, cols, l2: float = 0.1, max_ite
                      *[((numbers[c] - float(mean[i])) / float(scale[i])).alias(f"_z{i}") for i, c in enumerate(cols)]).persist()
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     n = m["n"]
+    splits = ordered.kept_splits(base, "_t")  # all steps cut the same times
 
     def step(beta):
         risk = base.withColumn("_r", F.exp(_linear(cols, beta)))
@@ -53,13 +57,15 @@ def cox_fit(df: DataFrame, time: str, event: str, cols, l2: float = 0.1, max_ite
             *[F.sum(F.col(f"_z{i}") * F.col(f"_z{j}") * F.col("_r")).alias(f"b{i}_{j}") for i, j in pairs],
             *[F.sum(F.when(F.col("_e") == 1, F.col(f"_z{i}")).otherwise(0.0)).alias(f"x{i}") for i in range(p)])
         names = ["s0", *[f"a{i}" for i in range(p)], *[f"b{i}_{j}" for i, j in pairs]]
-        run = ordered.running_sums(sums, "_t", names, descending=True, totals=False).filter("d > 0")
+        sums = cut_lineage(sums)
+        run = ordered.running_sums(sums, "_t", names, descending=True, totals=False, splits=splits, written=True).filter("d > 0")
         s0 = F.col("cum_s0")
         one = run.agg(
             F.sum(F.col("eta") - F.col("d") * F.log(s0)).alias("ll"),
             *[F.sum(F.col(f"x{i}") - F.col("d") * F.col(f"cum_a{i}") / s0).alias(f"g{i}") for i in range(p)],
             *[F.sum(F.col("d") * (F.col(f"cum_b{i}_{j}") / s0 - F.col(f"cum_a{i}") * F.col(f"cum_a{j}") / (s0 * s0))).alias(f"h{i}_{j}")
               for i, j in pairs]).first()
+        drop_table(sums)
         g = np.array([one[f"g{i}"] for i in range(p)]) / n - l2 * beta
         h = np.zeros((p, p))
         for i, j in pairs:
@@ -98,17 +104,26 @@ def cox_risk(df: DataFrame, coef: dict, mean: dict | None = None, out: str = "ri
 def kaplan_meier(df: DataFrame, time: str, event: str, by) -> DataFrame:
     """(by, time, at_risk, deaths, survival) at every distinct time."""
     by = [by] if isinstance(by, str) else list(by)
-    counts = df.filter(F.col(time).isNotNull()).groupBy(*by, F.col(time).cast("double").alias("time")).agg(
-        F.sum(F.col(event).cast("long")).alias("deaths"), F.count(F.lit(1)).alias("exits"))
-    left = ordered.running_sums(counts, "time", ["exits"], by, descending=True, totals=False)
+    counts = cut_lineage(df.filter(F.col(time).isNotNull()).groupBy(*by, F.col(time).cast("double").alias("time")).agg(
+        F.sum(F.col(event).cast("long")).alias("deaths"), F.count(F.lit(1)).alias("exits")))
+    splits = ordered.kept_splits(counts, "time")  # both sums run over the same times
+    left = ordered.running_sums(counts, "time", ["exits"], by, descending=True, totals=False, splits=splits, written=True)
     at_risk = left.select(*by, "time", F.col("cum_exits").alias("at_risk"), "deaths")
     dead = (F.col("deaths") == F.col("at_risk")).cast("int")
     # The factor 0 has no logarithm; it is carried as a flag.
     logs = at_risk.withColumns({"_log": F.when(dead == 0, F.log(1 - F.col("deaths") / F.col("at_risk"))).otherwise(0.0), "_zero": dead})
-    run = ordered.running_sums(logs, "time", ["_log", "_zero"], by, totals=False)
+    run = ordered.running_sums(logs, "time", ["_log", "_zero"], by, totals=False, splits=splits)
     return run.select(*by, "time", "at_risk", "deaths", F.when(F.col("cum__zero") > 0, 0.0).otherwise(F.exp("cum__log")).alias("survival"))
 
 
+def risk_group_curves(df: DataFrame, time: str, event: str, risk: str, labels=RISK_GROUPS, by: str = "risk_group") -> DataFrame:
+    """Kaplan-Meier curves (risk_group, time, at_risk, deaths, survival) of the
+    rows dealt into groups by the quantiles of their risk, lowest first. Equal
+    risks share a group; rows without a risk take no part."""
+    grouped = stats.quantile_bucket(df.filter(F.col(risk).isNotNull()), risk, list(labels), by)
+    return kaplan_meier(grouped, time, event, by)
+
+
 def _dense_rank(df: DataFrame, col: str, out: str, levels: DataFrame | None = None) -> DataFrame:
     """(col, out): zero-based rank of every distinct value."""
     values = (levels if levels is not None else df).select(F.col(col).cast("double").alias(col)).distinct().withColumn("_one", F.lit(1).cast("long"))
@@ -124,11 +139,12 @@ def concordance(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     that agree on all higher bits are compared by running sums over time. That
     is about log2(distinct risks) counted rows per distinct (time, event, risk).
     """
-    base = df.filter(F.col(time).isNotNull() & F.col(risk).isNotNull()).groupBy(
+    base = cut_lineage(df.filter(F.col(time).isNotNull() & F.col(risk).isNotNull()).groupBy(
         F.col(time).cast("double").alias("t"), F.col(event).cast("int").alias("e"), F.col(risk).cast("double").alias("r")).agg(
-            F.count(F.lit(1)).alias("n"))
+            F.count(F.lit(1)).alias("n")))
     t_rank, r_rank = _dense_rank(base, "t", "ti"), _dense_rank(base, "r", "ri")
     coded = base.join(t_rank, "t").join(r_rank, "r").select((2 * F.col("ti") + 1 - F.col("e")).alias("pos"), "ri", "e", "n")
+    coded = cut_lineage(coded)
     top = coded.agg(F.max("ri")).scalar()
     levels = F.expr("filter(sequence(-1, 61), b -> b < 0 OR shiftright(top, b) > 0)")  # as many bits as the ranks have
     # Level -1 groups equal risks (ties); level b compares rows that differ first at bit b.

@@ -100,12 +100,24 @@ def model_columns(df: DataFrame, exclude=()) -> list[str]:
 LEAKING = ("F12_is_multilabel", "F12_multi_label_count")
 
 
+def cox_outcome(data: DataFrame, df: DataFrame, fitted, cols, target: str, key: str = "uid", covariates: int = 8, repeats: int = 5):
+    """(scored rows, fit) of a Cox model of surrogate times on the ``covariates``
+    whose permutation costs the model ``fitted`` on ``data`` most accuracy."""
+    top = explain.top_features(explain.permutation_importance(fitted, data, cols, repeats, key=key), covariates)
+    surv = cut_lineage(survival.surrogate_survival(df, event=target, key=key).select(key, "time", "event", *top))
+    fit = survival.cox_fit(surv, "time", "event", top)
+    return cut_lineage(survival.cox_risk(surv, dict(zip(fit["cols"], fit["coef"])), dict(zip(fit["cols"], fit["mean"])))), fit
+
+
 def run_models(df: DataFrame, target: str, key: str = "uid", folds: int = 10, binary: bool = True, trees: int = 300, depth: int = 15,
-               rounds: int = 200, exclude=LEAKING, text: str | None = None, dataset: str = "primary", with_cox: bool = True) -> DataFrame:
+               rounds: int = 200, exclude=LEAKING, text: str | None = None, dataset: str = "primary", with_cox: bool = True,
+               covariates: int = 8, repeats: int = 5) -> DataFrame:
     """(dataset, model, metric, value, std): logistic regression, forest and
     boosted trees by stratified cross-validation; for several classes also a text
-    classifier on ``text``; for the binary task the Cox model's C-index on the
-    eight most important features."""
+    classifier on ``text``. For the binary task the Cox model's C-index on the
+    covariates of highest permutation importance, and the survival curves of its
+    risk quartiles (metric ``survival.<group>``, one row per time, which stands
+    in ``at``; elsewhere ``at`` is null)."""
     cols = model_columns(df, exclude)
     data = cut_lineage(models.prepare(df, cols, target).select(key, "label", "features", "class_weight", *cols))
     one = data.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("k")).first()
@@ -120,16 +132,16 @@ def run_models(df: DataFrame, target: str, key: str = "uid", folds: int = 10, bi
         rows = models.with_class_weight(coded, "label").select(key, "label", "terms", "class_weight")
         pred = models.cross_val_predict(rows, models.text_classifier(one["n"]), folds, key)
         parts.append(models.cross_validate(pred, "text_logistic", dataset, binary))
+    parts = [p.withColumn("at", F.lit(None).cast("double")) for p in parts]
     if binary and with_cox and "F22_composite_severity" in cols:
-        spark = df.sparkSession
-        fitted = estimators["random_forest"].fit(data)
-        top = explain.top_features(explain.tree_importance(spark, fitted, cols), 8)
-        surv = cut_lineage(survival.surrogate_survival(df, event=target).select(key, "time", "event", *top))
-        fit = survival.cox_fit(surv, "time", "event", top)
-        scored = survival.cox_risk(surv, dict(zip(fit["cols"], fit["coef"])), dict(zip(fit["cols"], fit["mean"])))
-        parts.append(survival.concordance(scored, "time", "event", "risk").select(
-            F.lit(dataset).alias("dataset"), F.lit("cox").alias("model"), F.lit("c_index").alias("metric"),
-            F.col("c_index").alias("value"), F.lit(0.0).alias("std")))
+        scored, _ = cox_outcome(data, df, estimators["random_forest"].fit(data), cols, target, key, covariates, repeats)
+
+        def cox(frame, metric, value, at):
+            return frame.select(F.lit(dataset).alias("dataset"), F.lit("cox").alias("model"), metric.alias("metric"),
+                                F.col(value).alias("value"), F.lit(0.0).alias("std"), at.cast("double").alias("at"))
+        parts.append(cox(survival.concordance(scored, "time", "event", "risk"), F.lit("c_index"), "c_index", F.lit(None)))
+        curves = survival.risk_group_curves(scored, "time", "event", "risk")
+        parts.append(cox(curves, F.concat(F.lit("survival."), F.col("risk_group")), "survival", F.col("time")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -142,7 +154,7 @@ def comparison_summary(raw: DataFrame, clean: DataFrame, feats: DataFrame, missi
     out = out.unionByName(over.select(F.lit("overlap").alias("section"), "dataset_source",
                                       F.concat_ws(".", "feature", F.col("bin").cast("string")).alias("metric"), F.col("density").alias("value")))
     if metrics is not None:
-        best = evaluate.leaderboard(metrics)
+        best = evaluate.leaderboard(metrics.filter("at IS NULL") if "at" in metrics.columns else metrics)  # without the curves
         out = out.unionByName(best.select(F.lit("models").alias("section"), F.col("dataset").alias("dataset_source"),
                                           F.concat_ws(".", "model", "metric").alias("metric"), "value"))
     return out

@@ -49,6 +49,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if path.rsplit("/", 1)[0].endswith(folder.split(":", 1)[-1].rstrip("/")) and path.rsplit("/", 1)[1].startswith("table-"):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread an input of fewer splits than cores over all cores.
 

@@ -40,6 +40,92 @@ def test_importances_name_the_signal(spark, planted):
     assert perm["F01_a"] > 0.2 and perm["F01_a"] > 5 * max(abs(perm["F02_b"]), abs(perm["F03_c"]))
 
 
+def test_repeats_and_orders_do_not_lengthen_the_plan(spark, planted):
+    rf = models.forest(trees=3, depth=2).fit(planted)
+
+    def size(make):
+        return make._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    few, many = (size(explain.shapley_sample(rf, planted, COLS, orders=o)) for o in (1, 20))
+    assert few == many
+    many = explain.permutation_importance(rf, planted, COLS, repeats=12)
+    assert {r["feature"] for r in many.collect()} == set(COLS)
+
+
+def test_shapley_adds_up_at_twenty_orders(spark, planted):
+    rf = models.forest(trees=5, depth=3).fit(planted)
+    att = explain.shapley_sample(rf, planted, COLS, orders=20)
+    assert att.count() == 240 * 3
+    # Every row is once per order the background of another one.
+    assert abs(att.agg(F.sum("attribution")).first()[0]) < 1e-6
+
+
+def test_a_failed_fit_ends_the_others(spark, planted):
+    class Bad:
+        def fit(self, df):
+            raise RuntimeError("no fit")
+    with pytest.raises(RuntimeError, match="no fit"):
+        models.cross_val_predict(planted, Bad(), 3)
+    twice = planted.unionByName(planted)  # rows that repeat a key share its fold
+    pred = models.cross_val_predict(twice, models.forest(trees=2, depth=2), 3)
+    assert pred.count() == 480 and pred.groupBy("uid").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+
+
+def test_folds_predict_the_same_however_many_run_at_once(spark, planted):
+    one, four = (sorted(map(tuple, models.cross_val_predict(planted, models.logistic(240), 4, at_once=n).select("uid", "fold", "prediction").collect()))
+                 for n in (1, 4))
+    assert one == four
+
+
+def test_softmax_loss_falls_and_probabilities_sum_to_one(spark):
+    from pyspark.ml.functions import vector_to_array
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3))
+    y = np.where(x[:, 0] * x[:, 1] > 0, 0, np.where(x[:, 2] > 0, 1, 2))  # no single feature tells
+    d = spark.createDataFrame([(i, *map(float, x[i]), "abc"[y[i]]) for i in range(400)], "uid int, F01_a double, F02_b double, F03_c double, y string")
+    d = models.prepare(d, COLS, "y").repartition(3).cache()
+    model = models.boosted(rounds=14, depth=3, rate=0.3, classes=3).fit(d)
+    assert all(b < a for a, b in zip(model.losses, model.losses[1:])) and abs(model.losses[0] - math.log(3)) < 1e-9
+    out = model.transform(d).select("label", "prediction", vector_to_array("probability").alias("p")).collect()
+    assert all(abs(sum(r["p"]) - 1) < 1e-12 and r["prediction"] == np.argmax(r["p"]) for r in out)
+    loss = -np.mean([math.log(r["p"][int(r["label"])]) for r in out])
+    assert abs(loss - model.losses[-1]) < 1e-9 and np.mean([r["label"] == r["prediction"] for r in out]) > 0.9
+    drawn = models.SoftmaxBoosting(3, rounds=4, depth=2, subsample=0.5, columns=0.67, weight="class_weight").fit(d)
+    assert drawn.losses[-1] < drawn.losses[0]
+    with pytest.raises(ValueError):
+        models.SoftmaxBoosting(2, rounds=1).fit(d)
+
+
+def test_first_softmax_cut_is_the_best_of_all(spark):
+    rng = np.random.default_rng(9)
+    x, y = rng.integers(0, 9, size=(120, 2)).astype(float), rng.integers(0, 3, size=120)
+    y[x[:, 1] > 5] = 2
+    d = models.assemble(spark.createDataFrame([(*map(float, x[i]), int(y[i])) for i in range(120)], "a double, b double, label int"), ["a", "b"])
+    model = models.SoftmaxBoosting(3, rounds=1, depth=1, rate=1.0).fit(d)
+    for k, feature, cut, value in model.trees:
+        g, h = 1 / 3 - (y == k), np.full(120, 2 / 3 * (2 / 3))
+
+        def gain(left):
+            part = [(g[m].sum() ** 2 / (h[m].sum() + 1), h[m].sum()) for m in (left, ~left)]
+            return (part[0][0] + part[1][0] - g.sum() ** 2 / (h.sum() + 1)) / 2 if min(p[1] for p in part) >= 1 else -1
+        best = max(gain(x[:, f] <= v) for f in range(2) for v in range(8))
+        left = x[:, feature[0]] <= model.cuts[feature[0]][cut[0]]
+        assert abs(gain(left) - best) < 1e-9 and abs(value[1] + g[left].sum() / (h[left].sum() + 1)) < 1e-9
+
+
+def test_risk_groups_and_their_curves(spark):
+    rows = [(float(i % 7 + 1), i % 2, float(i)) for i in range(40)] + [(1.0, 1, None)]
+    df = spark.createDataFrame(rows, "t double, e int, r double")
+    got = survival.risk_group_curves(df, "t", "e", "r").collect()
+    first = {r["risk_group"]: r["at_risk"] for r in got if r["time"] == 1.0}
+    assert first == dict.fromkeys(survival.RISK_GROUPS, 10)
+    low = [x for x in rows[:10]]
+    for r in (r for r in got if r["risk_group"] == "Low"):
+        s = 1.0
+        for t in sorted({x[0] for x in low if x[0] <= r["time"]}):
+            s *= 1 - sum(x[1] for x in low if x[0] == t) / sum(x[0] >= t for x in low)
+        assert abs(r["survival"] - s) < 1e-9
+
+
 def test_shapley_values_add_up(spark, planted):
     from pyspark.ml.functions import vector_to_array
     rf = models.forest(trees=15, depth=4).fit(planted)

@@ -25,7 +25,7 @@ from reportlens.llm.common import travels_by_value
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
-BLOCK, ANCHORS, LEAF, FANOUT = 4096, 256, 32, 8
+BLOCK, ANCHORS, LEAF, FANOUT = 8192, 256, 512, 8
 LARGEST = 1 << 27
 _LOW, _HIGH = -(1 << 62), 1 << 62
 
@@ -104,13 +104,21 @@ class RTree:
                 continue
             a, b = n * self.leaf, min((n + 1) * self.leaf, len(self.vectors))
             score = self.vectors[a:b] @ anchor
+            # What a window still takes: from its low or the last of its k results up to its high.
+            floor = {w: max(windows[w][0], found[w][0][0]) if len(found[w]) == k else windows[w][0] for w in wanted}
+            hits = np.flatnonzero(allowed[a:b] & (score >= min(floor.values())) & (score <= max(windows[w][1] for w in wanted)))
+            if not len(hits):
+                continue
+            hits = hits[np.argsort(-score[hits], kind="stable")]
+            values, named = score[hits].tolist(), ids[a + hits].tolist()
             for w in wanted:
-                low, high = windows[w]
-                held = found[w]
-                if len(held) == k:
-                    low = max(low, held[0][0])
-                for i in np.flatnonzero(allowed[a:b] & (score >= low) & (score <= high)):
-                    item = (int(score[i]), -int(ids[a + i]))
+                low, high, held = floor[w], windows[w][1], found[w]
+                for s, i in zip(values, named):
+                    if s > high:
+                        continue
+                    if s < low or len(held) == k and s < held[0][0]:
+                        break
+                    item = (int(s), -i)
                     if len(held) < k:
                         heapq.heappush(held, item)
                     elif item > held[0]:

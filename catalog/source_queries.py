@@ -28,7 +28,7 @@ def scratch(spark, name: str) -> str:
 # --------------------------------------------------------------------- XML
 
 _XML = ("concat('<eCitation><meta><uId id=\"', doc_id, '\"/><pmcId id=\"p', doc_id, '\"/></meta><MedlineCitation><Abstract>', "
-        "'<AbstractText Label=\"FINDINGS\">', esc(substring_index(text, '\\n', 1)), '</AbstractText><AbstractText Label=\"IMPRESSION\"> first version </AbstractText>', "
+        "'<AbstractText Label=\"FINDINGS\">', esc(text), '</AbstractText><AbstractText Label=\"IMPRESSION\"> first version </AbstractText>', "
         "'<AbstractText Label=\"IMPRESSION\"> ', esc(source), ' </AbstractText></Abstract><MeSH><major>', lang, '</major><major> ', source, ' </major></MeSH></MedlineCitation>', "
         "repeat(concat('<parentImage id=\"i', doc_id, '\"/>'), int(doc_id % 3)), '</eCitation>')")
 
@@ -43,8 +43,8 @@ def xml_documents(spark, sf):
     return full.select(cut.alias("value"), F.concat(F.col("doc_id").cast("string"), F.lit(".xml")).alias("filename"))
 
 
-_FINDINGS = strip_sql("CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, 1, strpos(text, chr(10)) - 1) ELSE text END")
-_XML_SQL = (f"SELECT CAST(doc_id AS VARCHAR) AS uid, 'p' || doc_id AS pmc_id, doc_id || '.xml' AS filename, md5({_FINDINGS}) AS findings, source AS impression, '' AS indication, "
+_TEXT = strip_sql("text")
+_XML_SQL = (f"SELECT CAST(doc_id AS VARCHAR) AS uid, 'p' || doc_id AS pmc_id, doc_id || '.xml' AS filename, md5({_TEXT}) AS findings, source AS impression, '' AS indication, "
             "'' AS comparison, lang || '|' || source AS mesh_major, '' AS mesh_minor, CAST(doc_id % 3 AS INTEGER) AS num_images, "
             "array_to_string(list_transform(range(doc_id % 3), lambda i: 'i' || doc_id), '|') AS image_ids FROM documents WHERE doc_id % 50 > 0")
 
@@ -54,9 +54,27 @@ def _(spark, sf):
     return readers.good_rows(readers.parse_xml_reports(xml_documents(spark, sf))).withColumn("findings", F.md5("findings"))
 
 
-@query("src2_quarantine", "SELECT doc_id || '.xml' AS filename, 'malformed XML' AS error FROM documents WHERE doc_id % 50 = 0")
+def xml_files(spark, sf):
+    """The XML documents as one file each."""
+    path = scratch(spark, "xml")
+    xml_documents(spark, sf).write.partitionBy("filename").text(path)
+    return path
+
+
+@query("src1_scan_xml_files", _XML_SQL.replace("doc_id || '.xml' AS filename, ", ""))
+def _(spark, sf):
+    d = readers.scan_xml_reports(spark, xml_files(spark, sf), pattern="*.txt")
+    return d.drop("filename").withColumn("findings", F.md5("findings"))
+
+
+# The message is the parser's own; what SQL knows is that it names a place inside the cut document.
+@query("src2_quarantine", "SELECT doc_id || '.xml' AS filename, TRUE AS has_place, TRUE AS place_is_inside FROM documents WHERE doc_id % 50 = 0")
 def _(spark, sf):
-    return readers.quarantine(readers.parse_xml_reports(xml_documents(spark, sf)))
+    d = xml_documents(spark, sf)
+    bad = readers.quarantine(readers.parse_xml_reports(d))
+    place = F.regexp_extract("error", r"line (\d+), column \d+$", 1)
+    lines = d.select("filename", (F.regexp_count("value", F.lit("\n")) + 1).alias("lines"))
+    return bad.join(lines, "filename").select("filename", (place != "").alias("has_place"), (place.cast("int") <= F.col("lines")).alias("place_is_inside"))
 
 
 # --------------------------------------------------------------------- CSV

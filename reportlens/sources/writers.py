@@ -15,8 +15,7 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        opts = {k: v for k, v in _CSV.items() if k != "multiLine"}
-        w.options(**opts, quoteAll=True).csv(path)
+        w.options(**_CSV, quoteAll=True).csv(path)
     else:
         w.format(fmt).save(path)
 

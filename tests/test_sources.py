@@ -24,6 +24,31 @@ def test_xml_reports(spark, tmp_path):
     assert (c["uid"], c["pmc_id"], c["findings"], c["num_images"], c["image_ids"]) == (None, "7", "", 0, "")
     bad = readers.quarantine(readers.scan_xml_reports(spark, str(tmp_path), keep_malformed=True)).collect()
     assert [r["filename"] for r in bad] == ["2.xml"]
+    assert "line" in bad[0]["error"] and "column" in bad[0]["error"]
+
+
+def test_xml_encodings_mixed_content_and_errors(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.xml").write_bytes("<?xml version='1.0' encoding='ISO-8859-1'?><r><x><AbstractText Label='FINDINGS'> é <b>c</b> d</AbstractText>"
+                                             "</x><MeSH><major> </major><major/><major>m</major></MeSH><MeSH><major>second</major></MeSH></r>".encode("latin-1"))
+    (tmp_path / "empty.xml").write_text(" ")
+    (tmp_path / "twice.xml").write_text("<r><AbstractText Label='IMPRESSION'>first</AbstractText><AbstractText Label='IMPRESSION'/></r>")
+    (tmp_path / "wrong.xml").write_text("<r>\n<a></b></r>")
+    got = {r["filename"]: r for r in readers.scan_xml_reports(spark, str(tmp_path), keep_malformed=True).collect()}
+    assert (got["a.xml"]["findings"], got["a.xml"]["mesh_major"]) == ("é", "|m")
+    assert got["twice.xml"]["impression"] == "" and not got["twice.xml"]["malformed"]
+    assert got["empty.xml"]["malformed"] and got["empty.xml"]["findings"] is None
+    assert got["wrong.xml"]["error"] == "mismatched tag: line 2, column 5"
+    texts = spark.createDataFrame([("<?xml version='1.0' encoding='ISO-8859-1'?><r><uId id='é'/></r>", "t"), (None, "n")], "value string, filename string")
+    rows_ = {r["filename"]: r for r in readers.parse_xml_reports(texts).collect()}
+    assert rows_["t"]["uid"] == "é" and rows_["n"]["malformed"]
+
+
+def test_csv_without_line_breaks_can_be_split(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("a,b\n1,x\n2,\n")
+    assert readers.read_csv(spark, str(tmp_path / "m.csv")).count() == 2
+    d = readers.scan_labelled_csv(spark, {"Mass": str(tmp_path / "m.csv")}, "s", multi_line=False)
+    assert sorted(r["b"] or "" for r in d.collect()) == ["", "x"]
 
 
 def test_labelled_csv(spark, tmp_path):

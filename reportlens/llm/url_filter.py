@@ -1,28 +1,27 @@
 """URL filters: listed rules, and a character language-model ratio for the rest.
 
 Two variable-order Markov models, of accepted and of rejected addresses, predict each character from up to ``ORDER``
-characters before it; orders are blended by Witten-Bell weights. Their counts are sums over all addresses that a rule
-decides. Contexts are counted in ``SLOTS`` hashed counters per order, so that the two models have a fixed size and are
-broadcast whatever the data. An address is rejected if the difference of its log-likelihoods per character is below a
-threshold, the one with the least mean error of both classes on held-back addresses.
+characters before it. Orders are blended by Witten-Bell weights: a context seen n times with t different followers gives
+the estimate of the next shorter context the weight t / (n + t). Counts are exact and come from all addresses that a rule
+decides: one row for each different stretch of ``ORDER`` + 1 characters, from which the shorter orders are summed. They
+grow with the data and stay distributed: the stretches that are to be scored are joined with them order by order, each
+different one once. An address is rejected if the difference of its log-likelihoods per character is below a threshold,
+the one with the least mean error of both classes on held-back addresses.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportlens.llm.common import lower_ascii, travels_by_value
-from reportlens.llm.shingles import mix
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-ORDER, SLOTS, BINS, SPAN = 5, 1 << 14, 2000, 8.0
+ORDER, BINS, SPAN = 5, 2000, 8.0
+_START, _END, _UNSEEN = "\x02", "\x03", 1 / 256
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -44,75 +43,56 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _contexts(text: str):
-    """For each order the hashed counters of the contexts, and of the contexts
-    with the character that follows; one row an order, one column a character."""
-    a = np.frombuffer(("\x02" * ORDER + text + "\x03").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(a) - ORDER
-    context, pair = np.empty((ORDER + 1, n), np.int64), np.empty((ORDER + 1, n), np.int64)
-    h = np.zeros(n, np.uint64)
-    for k in range(ORDER + 1):
-        if k:
-            h = mix(h + a[ORDER - k:ORDER - k + n] + np.uint64(k))
-        context[k] = h % np.uint64(SLOTS)
-        pair[k] = mix(h ^ mix(a[ORDER:])) % np.uint64(SLOTS)
-    return context, pair
-
-
-def _count(batches):
-    """Counts of one task: kind 0 for contexts, 1 for pairs, 2 for kinds of pairs a context has been seen with."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            table = sums.setdefault(label, np.zeros((2, ORDER + 1, SLOTS), np.int64))
-            for kind, places in enumerate(_contexts(text)):
-                for k in range(ORDER + 1):
-                    np.add.at(table[kind, k], places[k], 1)
-    frames = []
-    for label, table in sums.items():
-        kind, k, slot = np.nonzero(table)
-        frames.append(pd.DataFrame({"label": label, "kind": kind, "k": k, "slot": slot, "n": table[kind, k, slot]}))
-    import pyarrow as pa
-
-    made = pa.schema([("label", pa.int32()), ("kind", pa.int32()), ("k", pa.int32()), ("slot", pa.int32()), ("n", pa.int64())])
-    for f in frames:
-        yield from pa.Table.from_pandas(f, made, preserve_index=False).to_batches()
-
-
-def url_models(labelled: DataFrame) -> np.ndarray:
-    """Counters [label][kind][order][slot] of the rows (label int, text): at most
-    4 * (ORDER + 1) * SLOTS numbers come to the driver."""
-    counts = labelled.select("label", "text").mapInArrow(_count, "label int, kind int, k int, slot int, n long")
-    got = counts.groupBy("label", "kind", "k", "slot").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros((2, 2, ORDER + 1, SLOTS), np.float32)
-    table[got["label"], got["kind"], got["k"], got["slot"]] = got["n"]
-    return table
-
-
-def difference(text: str, models: np.ndarray) -> float:
-    """Log-likelihood of accepted less that of rejected, per character. Each
-    order's estimate is blended with that of the order below: a context seen n
-    times has the weight n / (n + 4); a character never seen, 1 / 256."""
-    if not text:
-        return 0.0
-    context, pair = _contexts(text)
-    logs = []
-    for label in (1, 0):
-        p = np.full(context.shape[1], 1 / 256)
-        for k in range(ORDER + 1):
-            n, hit = models[label, 0, k, context[k]], models[label, 1, k, pair[k]]
-            p = (np.minimum(hit, n) + 4 * p) / (n + 4)
-        logs.append(np.log(p).mean())
-    return float(logs[0] - logs[1])
+def _stretches(text: Column) -> Column:
+    """Each character of the text, and its end, with the ``ORDER`` characters before it."""
+    padded = F.filter(F.split(F.concat(F.lit(_START * ORDER), text, F.lit(_END)), ""), lambda c: c != "")
+    ends = F.sequence(F.lit(1), F.size(padded) - ORDER)
+    # The characters are bound once.
+    return F.flatten(F.transform(F.array(padded), lambda cs: F.transform(ends, lambda i: F.array_join(F.slice(cs, i, ORDER + 1), ""))))
 
 
-def _scores(models, spark):
-    sent = spark.sparkContext.broadcast(models)
+_KINDS = [f"{part}{label}" for part in ("fit", "all") for label in (0, 1)]
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: difference(t, sent.value))
-    return score
+
+def stretch_counts(learn: DataFrame) -> DataFrame:
+    """(gram, fit0, fit1, all0, all1) of rows (text, label 0 or 1, back): how
+    often a stretch occurs in the texts of a label, without the held-``back``
+    ones and with them."""
+    grams = learn.select("label", "back", F.explode(_stretches(F.col("text"))).alias("gram"))
+    sums = [F.count_if((F.col("label") == label) & (F.lit(part == "all") | ~F.col("back"))).alias(f"{part}{label}")
+            for part in ("fit", "all") for label in (0, 1)]
+    return grams.groupBy("gram").agg(*sums)
+
+
+def stretch_likelihoods(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(gram, p_fit0, p_fit1, p_all0, p_all1) for the stretches ``wanted``
+    (gram): the probability of the last character after the others."""
+    lower = None
+    for k in range(ORDER + 1):
+        tail = F.substring("gram", ORDER + 1 - k, k + 1)
+        seen = counts.groupBy(tail.alias("tail")).agg(*[F.sum(c).alias(c) for c in _KINDS])
+        before = F.substring("tail", 1, k) if k else F.lit("")
+        contexts = seen.groupBy(before.alias("before")).agg(*[F.sum(c).alias(f"n_{c}") for c in _KINDS], *[F.count_if(F.col(c) > 0).alias(f"t_{c}") for c in _KINDS])
+        rows = wanted.select(tail.alias("tail")).distinct().withColumn("before", before)
+        rows = rows.join(seen, "tail", "left").join(contexts, "before", "left")
+        if lower is not None:
+            rows = rows.join(lower, F.substring("tail", 2, k) == F.col("shorter"), "left")
+        out = []
+        for c in _KINDS:
+            less = F.lit(_UNSEEN) if lower is None else F.col(f"p_{c}")
+            n, t = F.coalesce(F.col(f"n_{c}"), F.lit(0)), F.coalesce(F.col(f"t_{c}"), F.lit(0))
+            out.append(F.when(n > 0, (F.coalesce(F.col(c), F.lit(0)) + t * less) / (n + t)).otherwise(less).alias(f"p_{c}"))
+        lower = cut_lineage(rows.select(F.col("tail").alias("shorter"), *out))
+    return lower.withColumnRenamed("shorter", "gram")
+
+
+def differences(texts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, d) of rows (id, text, back): log-likelihood of accepted less that of
+    rejected, per character; a held-``back`` text by the counts without such."""
+    grams = texts.select("id", "back", F.explode(_stretches(F.col("text"))).alias("gram"))
+    likely = stretch_likelihoods(counts, grams.select("gram").distinct())
+    ratio = F.when(F.col("back"), F.log(F.col("p_fit1") / F.col("p_fit0"))).otherwise(F.log(F.col("p_all1") / F.col("p_all0")))
+    return grams.join(likely, "gram").groupBy("id").agg(F.avg(ratio).alias("d"))
 
 
 def _threshold(scored: DataFrame) -> float:
@@ -143,14 +123,19 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = parts.withColumn("rule", rule).withColumn("said", verdict)
     parts = cut_lineage(parts.withColumn("text", F.concat("host", "path")))
-    learn = cut_lineage(parts.where("rule is not null").select(
-        F.when(F.col("said") == "allow", 1).otherwise(0).alias("label"), "text").distinct())
     back = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(5)) == 0
-    score = _scores(url_models(learn.where(~back)), pages.sparkSession)
-    cut = _threshold(learn.where(back).withColumn("d", score("text")))
-    both = learn.agg(F.countDistinct("label")).first()[0] == 2
-    final = _scores(url_models(learn), pages.sparkSession)
-    rest = parts.where("rule is null").withColumn("difference", final("text") if both else F.lit(math.nan))
+    learn = cut_lineage(parts.where("rule is not null").select(
+        F.when(F.col("said") == "allow", 1).otherwise(0).alias("label"), "text").distinct().withColumn("back", back))
+    if learn.agg(F.countDistinct("label")).first()[0] < 2:
+        scored, cut = parts.where("text <> ''").select("text").limit(0).withColumn("difference", F.lit(0.0)), 0.0
+    else:
+        new = parts.where("rule is null and text <> ''").select("text").distinct()
+        texts = cut_lineage(learn.where("back").select("text", "label", "back").unionByName(
+            new.select("text", F.lit(None).cast("int").alias("label"), F.lit(False).alias("back"))).withColumn("id", F.monotonically_increasing_id()))
+        found = cut_lineage(differences(texts, cut_lineage(stretch_counts(learn))).join(texts, "id"))
+        cut = _threshold(found.where("back"))
+        scored = found.where("not back").select("text", F.col("d").alias("difference"))
+    rest = parts.where("rule is null").join(scored, "text", "left").withColumn("difference", F.coalesce("difference", F.lit(0.0)))
     method = F.when((F.col("text") != "") & (F.col("difference") < cut), "block").otherwise("allow")
     columns = ["page_id", "host", "path", "rule"]
     return (rest.select(*columns, method.alias("verdict"), "difference").unionByName(

@@ -1,5 +1,6 @@
 """Held-out accuracy of the learned operators and the rules beside them."""
 
+import math
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 
 from reportlens.llm.language_id import predict_languages
 from reportlens.llm.toxicity import label_model, toxicity_scores
-from reportlens.llm.url_filter import judge_urls
+from reportlens.llm.url_filter import differences, judge_urls, stretch_counts
 
 
 def crc(doc_id):
@@ -111,6 +112,59 @@ def test_url_rules_and_parts(spark):
     assert (got[11].host, got[11].path, got[8].verdict) == ("u:p@h.org", "/", "allow")
 
 
+def plain_log_likelihood(texts, text, order=5):
+    """Per character, by Witten-Bell counts of ``texts`` kept in dictionaries."""
+    counts = {}
+    for t in texts:
+        t = "\x02" * order + t + "\x03"
+        for i in range(order, len(t)):
+            for k in range(order + 1):
+                after = counts.setdefault(t[i - k:i], {})
+                after[t[i]] = after.get(t[i], 0) + 1
+    t, total = "\x02" * order + text + "\x03", 0.0
+    for i in range(order, len(t)):
+        p = 1 / 256
+        for k in range(order + 1):
+            after = counts.get(t[i - k:i], {})
+            if after:
+                p = (after.get(t[i], 0) + len(after) * p) / (sum(after.values()) + len(after))
+        total += math.log(p)
+    return total / (len(t) - order)
+
+
+def test_url_differences_equal_a_plain_model(spark):
+    rng = random.Random(12)
+    make = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 14)))
+    learn = [(make("abcé/"), 1, i % 3 == 0) for i in range(30)] + [(make("bcd/𝄞"), 0, i % 3 == 0) for i in range(30)]
+    texts = [(i, t, back) for i, (t, _, back) in enumerate(learn) if back] + [(100, "abz", False), (101, "d" * 3000, False), (102, "é𝄞", False)]
+    counts = stretch_counts(spark.createDataFrame(learn, "text string, label int, back boolean"))
+    got = {r.id: r.d for r in differences(spark.createDataFrame(texts, "id long, text string, back boolean"), counts).collect()}
+    for i, t, back in texts:
+        kept = [(x, label) for x, label, held in learn if not (back and held)]
+        accepted, rejected = (plain_log_likelihood([x for x, label in kept if label == want], t) for want in (1, 0))
+        assert abs(got[i] - (accepted - rejected)) < 1e-9
+
+
+def test_url_model_gains_from_more_data(spark):
+    rng = random.Random(13)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(3000)] for _ in range(2)]
+    learned = lambda label, n: [f"http://h{k}.{('com', 'org')[label]}/{('de', 'fr')[label]}/{rng.choice(words[label])}" for k in range(n)]
+    right = []
+    for n in (300, 6000):
+        new = [(label, f"http://h{k}.net/xx/{rng.choice(words[label])}") for label in (0, 1) for k in range(200)]
+        urls = learned(0, n) + learned(1, n) + [u for _, u in new]
+        got = {r.page_id: r.verdict for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+        right.append(np.mean([(got[2 * n + k] == "allow") == bool(label) for k, (label, _) in enumerate(new)]))
+    assert right[1] > right[0] + 0.2 and right[1] >= 0.9
+
+
+def test_url_repeated_rows_and_ties(spark):
+    urls = ["http://a.org/x", "http://b.com/de/x"] * 5 + ["http://c.net/x"] * 3 + ["http://c.net/" + "y" * 20000]
+    got = [(r.verdict, r.difference) for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn(
+        "text", F.lit("z"))).orderBy("page_id").collect()]
+    assert len(got) == 14 and len(set(got[10:13])) == 1 and got[13][0] in ("allow", "block")
+
+
 def test_url_model_learns_the_path(spark):
     rng = random.Random(6)
     host = lambda tld: "".join(rng.choice("abcdefg") for _ in range(6)) + tld

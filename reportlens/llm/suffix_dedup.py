@@ -311,8 +311,8 @@ def _divided(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, DataF
     """
     small, settled = [], []
     while True:
-        size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        sized = cut_lineage(rows.join(size.where("n > 1"), "key"))
+        size = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        sized = cut_lineage(rows.join(size, "key"))
         small.append(sized.where(F.col("n") <= group).drop("n"))
         large = sized.where(F.col("n") > group).drop("n")
         if large.isEmpty():

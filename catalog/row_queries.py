@@ -119,7 +119,7 @@ def _(spark, sf):
     return profile.section_presence(secondary_reports(spark, sf), "Findings", "Impression")
 
 
-@query("smp1_sample_n")
+@query("smp1_sample_n", "SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 200")
 def _(spark, sf):
     return rows.sample_n(table(spark, sf, "documents").select("doc_id", "lang"), 200, 42, "doc_id")
 

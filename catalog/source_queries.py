@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog.cleaning_queries import _PIP1, _PIP3
 from catalog.feature_queries import EN_FEATURES_SQL, en_features, feature_cte, fr_features
@@ -14,9 +14,9 @@ from catalog.profile_queries import rounded
 from catalog.registry import query
 from catalog.text_queries import age_sql, norm_en_sql, norm_fr_sql, strip_sql, tokens_sql
 from reportlens.functions import lexicons as lx, text as tx
-from reportlens.operators import compare, models, rows
+from reportlens.operators import compare, models, rows, survival
 from reportlens.plans import reports as plans
-from reportlens.session import shared_folder, spread
+from reportlens.session import cut_lineage, shared_folder, spread
 from reportlens.sources import readers, writers
 
 
@@ -114,13 +114,16 @@ def _(spark, sf):
     return readers.read_table(spark, path, "json", m.sparkSession.createDataFrame([], "dataset string, model string, metric string, value double").schema)
 
 
-@query("snk4_model_round_trip")
+@query("snk4_model_round_trip", "SELECT doc_id AS uid, quality::DOUBLE AS label, TRUE AS same FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL")
 def _(spark, sf):
     from catalog.model_queries import quality_rows
-    d = quality_rows(spark, sf).cache()
+    d = cut_lineage(quality_rows(spark, sf))
     path = scratch(spark, "model")
-    writers.save_model(models.forest(trees=5, depth=4).fit(d), path)
-    return writers.load_model(path).transform(d).select("uid", "label", "prediction")
+    fitted = models.forest(trees=5, depth=4).fit(d)
+    writers.save_model(fitted, path)
+    before = fitted.transform(d).select("uid", F.col("prediction").alias("before"))
+    after = writers.load_model(path).transform(d)
+    return after.join(before, "uid").select("uid", "label", (F.col("prediction") == F.col("before")).alias("same"))
 
 
 # ------------------------------------------------- report and comparison
@@ -232,15 +235,32 @@ def _(spark, sf):
     return rounded(plans.comparison_summary(raw, clean, tagged_features(spark, sf), _MISS))
 
 
-@query("pip7_run_models")
+def _models_sql(dataset: str, names: dict, curves: bool) -> str:
+    rows = [f"SELECT '{dataset}' AS dataset, '{m}' AS model, '{x}' AS metric, TRUE AS valid" for m, xs in names.items() for x in xs]
+    rows += [f"SELECT '{dataset}', 'cox', 'survival.{g}', TRUE" for g in survival.RISK_GROUPS if curves]
+    return " UNION ALL ".join(rows)
+
+
+def _model_rows(out):
+    """Which scores there are, and that they are shares; a survival curve does not rise."""
+    falls = F.col("value") <= F.coalesce(F.lag("value").over(Window.partitionBy("dataset", "model", "metric").orderBy("at")), F.lit(1.0))
+    each = out.withColumn("ok", F.col("value").between(0, 1) & (F.col("at").isNull() | falls))
+    return each.groupBy("dataset", "model", "metric").agg(F.min("ok").alias("valid"))
+
+
+_TWO = ["macro_f1", "accuracy", "f1", "auc"]
+
+
+@query("pip7_run_models", _models_sql("primary", {"logistic_regression": _TWO, "random_forest": _TWO, "boosted_trees": _TWO, "cox": ["c_index"]}, True))
 def _(spark, sf):
-    return rounded(plans.run_models(en_features(spark, sf), "F25_is_abnormal", folds=3, trees=10, depth=6, rounds=5))
+    return _model_rows(plans.run_models(en_features(spark, sf), "F25_is_abnormal", folds=3, trees=10, depth=6, rounds=5))
 
 
-@query("pip7_run_models_multiclass")
+@query("pip7_run_models_multiclass",
+       _models_sql("secondary", {m: ["macro_f1", "accuracy"] for m in ("logistic_regression", "random_forest", "boosted_trees", "text_logistic")}, False))
 def _(spark, sf):
-    return rounded(plans.run_models(fr_features(spark, sf), "F25_condition_label", folds=2, trees=10, depth=6, rounds=2, binary=False,
-                                    exclude=(), text="findings_clean", dataset="secondary"))
+    return _model_rows(plans.run_models(fr_features(spark, sf), "F25_condition_label", folds=2, trees=10, depth=6, rounds=2, binary=False,
+                                        exclude=(), text="findings_clean", dataset="secondary"))
 
 
 _P9_EN = feature_cte(lx.EN, f"{_PIP1}, cleaned AS (SELECT uid, '' AS condition, mesh_major, {norm_en_sql('findings')} AS findings_clean, {norm_en_sql('impression')} AS impression_clean FROM s3)")

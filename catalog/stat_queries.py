@@ -13,10 +13,15 @@ from reportlens.operators import evaluate, models, ordered, splits, stats, survi
 _L = f"WITH {LENGTHS_SQL}"
 
 
-@query("spl1_random_split")
+def unit_sql(key: str, seed: int = 42) -> str:
+    """The draw of functions/draws.py."""
+    return f"((('0x' || md5('{seed}:' || {key})[1:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496)"
+
+
+@query("spl1_random_split",
+       f"SELECT doc_id, CASE WHEN u < 0.7::DOUBLE THEN 0 WHEN u < 0.7::DOUBLE + 0.15::DOUBLE THEN 1 ELSE 2 END::INTEGER AS split FROM (SELECT doc_id, {unit_sql('doc_id')} AS u FROM documents)")
 def _(spark, sf):
-    d = splits.split(table(spark, sf, "documents").select("doc_id", "lang"), [0.7, 0.15, 0.15], 42, "doc_id")
-    return d.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return splits.split(table(spark, sf, "documents").select("doc_id"), [0.7, 0.15, 0.15], 42, "doc_id")
 
 
 _DRIFT = ["findings_words", "impression_words"]
@@ -50,14 +55,42 @@ _KS = """WITH v AS (SELECT l_extendedprice AS value, count(*) FILTER (WHERE l_re
  least(greatest(list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END * exp(-2.0::DOUBLE * k * k * lam * lam))), 0), 1) END::DOUBLE, 6) AS p_value FROM l"""
 
 
+def _ks_sql(source: str, metric: str, side: str) -> str:
+    return (_KS.replace("FROM lineitem", f"FROM {source}").replace("l_extendedprice", metric).replace("l_returnflag = 'R'", side)
+            .replace("l_returnflag <> 'R'", f"NOT ({side})"))
+
+
+_MATCH = f"WITH {LENGTHS_SQL} " + " UNION ALL ".join(
+    f"SELECT *, p_value > 0.05 AS match FROM ({_ks_sql('lens', m, 'uid % 3 > 0')})" for m in _DRIFT)
+
+
+@query("spl2_split_match", _MATCH)
+def _(spark, sf):
+    d = lengths(spark, sf).withColumn("side", F.col("uid") % 3 > 0)
+    return rounded(splits.split_match(d, "side", _DRIFT))
+
+
 @query("tst1_ks_two_sample", _KS)
 def _(spark, sf):
     return rounded(stats.ks_two_sample(table(spark, sf, "lineitem"), ["l_extendedprice"], F.col("l_returnflag") == "R"))
 
 
-@query("tst2_ks_normal")
+def normal_sql(z: str) -> str:
+    """Standard normal distribution function: 1/2 + density * (z + z^3/3 + z^5/15 + ...)."""
+    series = (f"list_reduce(list_prepend([{z}, {z}]::DOUBLE[], list_transform(range(1, 200), lambda n: [2 * n + 1]::DOUBLE[])), "
+              f"lambda s, n: [s[1] * {z} * {z} / n[1], s[2] + s[1] * {z} * {z} / n[1]])[2]")
+    return f"(0.5::DOUBLE + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {series})"
+
+
+@query("tst2_ks_normal",
+       "WITH v AS (SELECT l_extendedprice::DOUBLE AS x, count(*) AS n FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1), "
+       "m AS (SELECT avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS s, count(*)::DOUBLE AS t FROM lineitem WHERE l_extendedprice > 0), "
+       "c AS (SELECT (x - m) / s AS z, sum(n) OVER (ORDER BY x) / t AS hi, (sum(n) OVER (ORDER BY x) - n) / t AS lo, t FROM v, m), "
+       f"d AS (SELECT max(greatest(hi - f, f - lo)) AS d, any_value(t) AS t FROM (SELECT *, {normal_sql('z')} AS f FROM c)) "
+       "SELECT round(d, 6) AS statistic, round(2 * list_sum(list_transform(range(1, 101), lambda k: (-1)::DOUBLE ** (k - 1) * exp(-2 * k * k * d * d * t))), 6) AS \"pValue\" FROM d")
 def _(spark, sf):
-    return stats.ks_normal(table(spark, sf, "lineitem"), "l_extendedprice")
+    d = stats.ks_normal(table(spark, sf, "lineitem"), "l_extendedprice")
+    return d.select(F.round("statistic", 6).alias("statistic"), F.round("pValue", 6).alias("pValue"))
 
 
 _NORM = ["findings_words", "impression_words"]
@@ -83,7 +116,15 @@ def _(spark, sf):
     return rounded(stats.mann_whitney(table(spark, sf, "events"), ["value"], F.col("event_type") == "click").drop("p_value"))
 
 
-@query("tst4_mann_whitney_p")
+def _whitney_sql(metric: str) -> str:
+    return (f"SELECT '{metric}' AS metric, n1::BIGINT AS n1, n2::BIGINT AS n2, u, round(z, 6) AS z, round(2 * (1 - {normal_sql('abs(z)')}), 6) AS p_value FROM ("
+            "SELECT *, (u - n1 * n2 / 2) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM ("
+            "SELECT n1, n2, ties, rs - n1 * (n1 + 1) / 2 AS u FROM (SELECT sum(a)::DOUBLE AS n1, sum(n) - sum(a) AS n2, sum(a * mid) AS rs, sum(n*n*n - n) AS ties FROM ("
+            "SELECT a, n, sum(n) OVER (ORDER BY value) - n + (n + 1) / 2 AS mid FROM ("
+            f"SELECT {metric} AS value, count(*) FILTER (WHERE l_returnflag = 'R') AS a, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1)))))")
+
+
+@query("tst4_mann_whitney_p", " UNION ALL ".join(map(_whitney_sql, ("l_quantity", "l_extendedprice"))))
 def _(spark, sf):
     return rounded(stats.mann_whitney(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], F.col("l_returnflag") == "R"))
 
@@ -199,3 +240,18 @@ def _(spark, sf):
        "SELECT g, t AS time, at_risk::BIGINT AS at_risk, deaths::BIGINT AS deaths, round(product(1 - deaths / at_risk) OVER (PARTITION BY g ORDER BY t), 6) AS survival FROM r")
 def _(spark, sf):
     return rounded(survival.kaplan_meier(survival_rows(spark, sf), "t", "e", "g"))
+
+
+_RISK = "exp(4.0::DOUBLE * l_discount - 3.0::DOUBLE * l_tax)"
+
+
+@query("sv5_risk_group_curves",
+       f"WITH r AS (SELECT l_quantity::DOUBLE AS t, (l_returnflag = 'R')::INT AS e, {_RISK} AS r FROM lineitem), "
+       "q AS (SELECT quantile_cont(r, 0.25) AS a, quantile_cont(r, 0.5) AS b, quantile_cont(r, 0.75) AS c FROM r), "
+       "g AS (SELECT CASE WHEN r <= a THEN 'Low' WHEN r <= b THEN 'Med-Low' WHEN r <= c THEN 'Med-High' ELSE 'High' END AS risk_group, t, e FROM r, q), "
+       "c AS (SELECT risk_group, t, sum(e) AS deaths, count(*) AS exits FROM g GROUP BY 1, 2), "
+       "x AS (SELECT risk_group, t, deaths, sum(exits) OVER (PARTITION BY risk_group ORDER BY t DESC) AS at_risk FROM c) "
+       "SELECT risk_group, t AS time, at_risk::BIGINT AS at_risk, deaths::BIGINT AS deaths, round(product(1 - deaths / at_risk) OVER (PARTITION BY risk_group ORDER BY t), 6) AS survival FROM x")
+def _(spark, sf):
+    d = survival.cox_risk(survival_rows(spark, sf), {"l_discount": 4.0, "l_tax": -3.0})
+    return rounded(survival.risk_group_curves(d, "t", "e", "risk"))

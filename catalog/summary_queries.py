@@ -75,7 +75,21 @@ for _n in (1, 2):
         return rounded(summaries.rouge_n(turns(spark, sf), "pair", "ref", "pred", n))
 
 
-@query("sum4_rouge_l")
+def _lcs_sql(source: str, key: str, ref: str, pred: str) -> str:
+    """(key, o, na, nb): the common subsequence by rows of its table, a fold in a fold."""
+    step = "CASE WHEN a[i[1]] = b[j[1]] THEN r[j[1]] + 1 ELSE greatest(c[j[1]], r[j[1] + 1]) END::INTEGER"
+    inner = f"list_reduce(list_prepend([0]::INTEGER[], list_transform(range(1, len(b) + 1), lambda j: [j::INTEGER])), lambda c, j: list_append(c, {step}))"
+    rows = f"list_reduce(list_prepend(list_transform(range(len(b) + 1), lambda x: 0::INTEGER), list_transform(range(1, len(a) + 1), lambda i: [i::INTEGER])), lambda r, i: {inner})"
+    return (f"lt AS (SELECT {key}, regexp_extract_all(lower({ref}), '[a-z0-9]+') AS a, regexp_extract_all(lower({pred}), '[a-z0-9]+') AS b FROM {source}), "
+            f"lc AS (SELECT {key}, len(a) AS na, len(b) AS nb, ({rows})[-1] AS o FROM lt)")
+
+
+_RL = {"p": "CASE WHEN nb > 0 THEN o / nb ELSE 0 END", "r": "CASE WHEN na > 0 THEN o / na ELSE 0 END", "f": "CASE WHEN o > 0 THEN 2.0::DOUBLE * o / (na + nb) ELSE 0 END"}
+
+
+@query("sum4_rouge_l",
+       f"WITH {_TURNS}, keyed AS (SELECT *, conv_id || '-' || turn AS pair FROM turns), {_lcs_sql('keyed', 'pair', 'ref', 'pred')} SELECT pair, "
+       + ", ".join(f"round(({e})::DOUBLE, 6) AS rougeL_{m}" for m, e in _RL.items()) + " FROM lc")
 def _(spark, sf):
     return rounded(summaries.rouge_l(turns(spark, sf), "pair", "ref", "pred"))
 
@@ -96,9 +110,11 @@ def _(spark, sf):
     return rounded(s.drop("rougeL_p", "rougeL_r", "rougeL_f"))
 
 
-@query("sum5_side_by_side")
+@query("sum5_side_by_side",
+       f"WITH {REPORTS_SQL}, s AS (SELECT * FROM reports WHERE findings <> '' AND impression <> '' ORDER BY md5('42:' || uid), uid LIMIT 3) " + " UNION ALL ".join(
+           f"SELECT 'lead_{n}' AS model, uid, findings AS reference, array_to_string({_SENTS.format(c='impression')}[1:{n}], ' ') AS prediction FROM s" for n in (1, 2)))
 def _(spark, sf):
-    p = summaries.predictions(reports(spark, sf), "uid", "impression", "findings", {"lead_2": _lead(2), "extractive": summaries.extractive_summary}, n=3)
+    p = summaries.predictions(reports(spark, sf), "uid", "impression", "findings", {"lead_1": _lead(1), "lead_2": _lead(2)}, n=3)
     return p.select("model", "uid", "reference", "prediction")
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from reportlens.functions import text as tx
+from reportlens.functions import draws, text as tx
 
 
 # ------------------------------------------------------------- projections
@@ -120,7 +120,7 @@ def positive_only(c) -> Column:
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """``n`` rows in the order of a seeded hash of the key: the same rows
     whatever the partitioning. Runs as a distributed top-n."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(draws.digest(key, seed), F.col(key)).limit(n)
 
 
 def head_n(df: DataFrame, n: int, order) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from reportlens.functions import text as tx
+from reportlens.functions import draws
 from reportlens.operators import ordered, stats
 
 
 def split(df: DataFrame, weights, seed: int, key: str, out: str = "split") -> DataFrame:
     """Adds the index of the part each row falls in; ``weights`` sum to one.
     The same key always lands in the same part."""
-    point = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1e6
+    point = draws.unit(key, seed)
     edges, total = [], 0.0
     for w in weights[:-1]:
         total += w

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from reportlens.functions import text as tx
 from reportlens.operators import corpus
-from reportlens.operators.rows import head_n
+from reportlens.operators.rows import sample_n
 from reportlens.session import cut_lineage
 
 
@@ -148,13 +148,13 @@ def as_summariser(fn):
     return lambda df, key, text: df.select(key, call(F.col(text)).alias("summary"))
 
 
-def predictions(df: DataFrame, key: str, source: str, reference: str, summarisers: dict, n: int | None = None) -> DataFrame:
+def predictions(df: DataFrame, key: str, source: str, reference: str, summarisers: dict, n: int | None = None, seed: int = 42) -> DataFrame:
     """(model, key, source, reference, prediction) for every summariser: a
-    function (df, key, text) -> (key, summary). ``n`` evaluates the first n pairs
-    by key, as an evaluation sample is a parameter of the report."""
+    function (df, key, text) -> (key, summary). ``n`` evaluates a sample of n
+    pairs drawn by ``seed``, as an evaluation sample is a parameter of the report."""
     pairs = df.filter((F.coalesce(F.col(source), F.lit("")) != "") & (F.coalesce(F.col(reference), F.lit("")) != ""))
     if n:
-        pairs = head_n(pairs, n, key)
+        pairs = sample_n(pairs, n, seed, key)
     pairs = pairs.select(key, F.col(source).alias("source"), F.col(reference).alias("reference"))
     parts = [pairs.join(fn(pairs, key, "source").withColumnRenamed("summary", "prediction"), key)
              .select(F.lit(name).alias("model"), key, "source", "reference", "prediction") for name, fn in summarisers.items()]
@@ -162,10 +162,10 @@ def predictions(df: DataFrame, key: str, source: str, reference: str, summariser
 
 
 def evaluate_summaries(df: DataFrame, key: str, source: str, reference: str, summarisers: dict, n: int | None = None,
-                       unicode: bool = False) -> DataFrame:
+                       unicode: bool = False, seed: int = 42) -> DataFrame:
     """(model, pairs, mean of each ROUGE score)."""
     # Written once: three scores read the predictions, and a summariser may be costly.
-    pred = cut_lineage(predictions(df, key, source, reference, summarisers, n))
+    pred = cut_lineage(predictions(df, key, source, reference, summarisers, n, seed))
     s = rouge_all(pred, ["model", key], "reference", "prediction", unicode)
     names = [f"rouge{x}_{m}" for x in ("1", "2", "L") for m in ("p", "r", "f")]
     return s.groupBy("model").agg(F.count(F.lit(1)).alias("pairs"), *[F.avg(c).alias(c) for c in names])

@@ -7,6 +7,7 @@ import warnings
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reportlens.functions import draws
 from reportlens.operators import ordered, stats
 from reportlens.session import cut_lineage, drop_table
 
@@ -17,8 +18,7 @@ def surrogate_survival(df: DataFrame, severity: str = "F22_composite_severity",
                        key: str = "uid", seed: int = 42) -> DataFrame:
     """time = clip(10 - 8 * severity + Exp(mean 2), 0.1, 20), event = abnormal.
     The exponential draw is a function of the key and the seed."""
-    unit = (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    time = 10.0 - 8.0 * F.col(severity) - 2.0 * F.log(unit)
+    time = 10.0 - 8.0 * F.col(severity) - 2.0 * F.log(draws.unit(key, seed))
     return df.withColumns({"time": F.least(F.greatest(time, F.lit(0.1)), F.lit(20.0)), "event": F.col(event).cast("int")})
 
 

@@ -6,10 +6,12 @@
    down to ``DEPTH``, and neighbours across the division are offered too.
 3. Leaves still crowded at full depth that share nodes form a crowd, and every link of a crowd is found. Its nodes are
    written as their differences from what most of them hold. Two nodes with few enough differences are linked whatever
-   these are, and then also to the node with the fewest; any other linked pair has a difference in common, and one among
-   the rarest of both (prefix filter), so that only nodes that share a rare difference are compared.
+   these are, and then also to the node with the fewest; any other linked pair has differences in common, and some among
+   the rarest of both (prefix filter), so that only nodes that share rare differences are compared: one of them, or where
+   that leaves many nodes together two, three or four.
 4. Offered pairs are confirmed on the full sets, at first only each node's most often offered partner, then all offered
-   pairs between different components. Nothing is dropped; links that lie inside a component need no confirmation.
+   pairs between different components whose 120 hashes agree as often as those of linked pairs do (all but one in 10^9).
+   Links that lie inside a component need no confirmation.
 
 At a similarity of 0.85 a pair shares 3 hashes in a tree with p = 0.61, so that all 20 trees miss it with p = 5e-9, and
 6 hashes with p = 0.38: where regions are divided, 20 trees miss one given pair with p = 8e-5. A pair whose nodes are in
@@ -18,6 +20,8 @@ one crowd is not missed.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,7 +33,7 @@ from reportlens.llm.shingles import min_hashes, mix, multipliers, set_digest, sh
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
-TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK, SQUARE = 20, 3, 6, 64, 5, 64, 256
+TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK, SQUARE, LEVELS = 20, 3, 6, 64, 5, 64, 256, 4
 _BITS = 21
 
 
@@ -260,29 +264,69 @@ def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: in
     nodes = nodes.join(least, "crowd").withColumn("close", F.col("over") + F.col("least") <= 0)
     star = nodes.where("close and rid <> first").select(F.least("rid", "first").alias("a"), F.greatest("rid", "first").alias("b"))
     nodes = nodes.where("most + least > 0")  # else all are close
-    need = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("least")) / unit))
-    nodes = cut_lineage(nodes.withColumn("prefix", F.size("unlike") - need + 1).where("prefix > 0")
-                        .select("crowd", "rid", "over", "close", "prefix", "unlike"))
-    each = nodes.select("crowd", "rid", F.explode("unlike").alias("x"))
-    k = each.groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    held = each.join(k, ["crowd", "x"]).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("held"))
-    nodes = nodes.join(held, "rid")
-    single = F.size("unlike") - F.size("held")  # the rarest: no other node has them
-    nodes = cut_lineage(nodes.withColumn("prefix", F.col("prefix") - single).where("prefix > 0").select(
-        "crowd", "rid", "over", "close", F.col("held.x").alias("held"), F.slice(F.col("held.x"), F.lit(1), F.col("prefix").cast("int")).alias("prefix")))
-    rows = nodes.select("crowd", "rid", "close", F.explode("prefix").alias("x"))
-    met = rows.groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("m"), F.min("close").alias("all_close")).where("m > 1 and not all_close")
-    rows = cut_lineage(rows.join(met.drop("all_close"), ["crowd", "x"]).select("crowd", "x", "rid", F.ceil(F.col("m") / SQUARE).alias("m")))
-    # Nodes that share a difference are dealt into parts; each two parts meet in a task of their own.
-    part = F.pmod(F.xxhash64("rid"), F.col("m"))
-    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    rows = rows.select("crowd", "x", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid")
-    rows = rows.join(nodes.select("rid", "over", "close", "held"), "rid").select("crowd", "x", "i", "j", "rid", "over", "close", "held")
-    square = ["crowd", "x", "i", "j"]
+    need = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("least")) / unit)).cast("int")
+    nodes = cut_lineage(nodes.withColumn("need", need).where("size(unlike) >= need").select("crowd", "rid", "over", "close", "need", "unlike"))
+    nodes = cut_lineage(nodes.join(_items(nodes.select("crowd", "rid", F.explode("unlike").alias("x"))), "rid").drop("unlike"))
+    met = _meetings(nodes.select("crowd", "rid", "close", "need", "items"))
+    # Nodes of a key are dealt into parts; each two parts meet in a task of their own.
+    parts = F.ceil(F.col("m") / SQUARE)
+    rows = met.withColumn("part", F.pmod(F.xxhash64("rid"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid")
+    rows = rows.join(nodes.select("rid", "over", "close", "held"), "rid").select("key", "i", "j", "rid", "over", "close", "held")
+    square = ["key", "i", "j"]
     links = rows.repartition(*square).sortWithinPartitions(*square).mapInArrow(_squares(unit), "a long, b long")
     return cut_lineage(star.unionByName(links))
 
 
+def _items(each: DataFrame) -> DataFrame:
+    """(rid, held, items) of rows (crowd, rid, x): the differences that other
+    nodes of the crowd have too. Differences that the same nodes have are one
+    item (name, w differences), the items of fewer nodes first, with ``rest``,
+    the differences of this and all later items."""
+    seen = each.groupBy("crowd", "x").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("rid")).alias("s1"),
+                                          F.bit_xor(F.xxhash64("rid", F.lit(1))).alias("s2")).where("k > 1")
+    rows = each.join(seen, ["crowd", "x"]).groupBy("rid", "k", "s1", "s2").agg(F.collect_list("x").alias("xs"))
+    later = Window.partitionBy("rid").orderBy("k", "s1", "s2").rowsBetween(0, Window.unboundedFollowing)
+    rows = rows.withColumn("w", F.size("xs")).withColumn("rest", F.sum("w").over(later).cast("int"))
+    item = F.struct("k", "s1", "s2", "w", "rest")
+    return rows.groupBy("rid").agg(F.flatten(F.collect_list("xs")).alias("held"), F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def _meetings(nodes: DataFrame) -> DataFrame:
+    """(key, rid, m): the groups, of m nodes each, in which every two nodes of
+    ``nodes`` (crowd, rid, close, need, items) meet that have as many
+    differences in common as both need.
+
+    A key is the first common item in the order of rarity, which must leave a
+    node enough differences. A key of more than ``SQUARE`` nodes is lengthened
+    by the next common one, up to ``LEVELS`` of them; nodes that need no more
+    differences than the key has stay under it, too.
+    """
+    def keyed(of, got):
+        return lambda x, i: F.struct(F.xxhash64(of, x["s1"], x["s2"]).alias("key"), i.alias("pos"), (got + x["w"]).alias("got"), x["rest"].alias("rest"))
+    enough = lambda got: lambda x: got + x["rest"] >= F.col("need")
+    first = F.filter(F.transform("items", keyed("crowd", F.lit(0))), enough(F.lit(0)))
+    rows = nodes.select("rid", "close", F.inline(first)).drop("rest")
+    found = []
+    for level in range(1, LEVELS + 1):
+        size = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("close").alias("all_close"))
+                           .where("m > 1 and not all_close").select("key", "m"))
+        sized = cut_lineage(rows.join(size, "key"))
+        whole = (F.col("m") <= SQUARE) | (F.col("pos") < 0) if level < LEVELS else F.lit(True)
+        found.append(sized.where(whole).select("key", "rid", "m"))
+        large = sized.where(~whole)
+        if level == LEVELS or large.isEmpty():
+            break
+        large = large.drop("m").join(nodes.select("rid", "need", "items"), "rid")
+        follows = F.filter(F.transform("items", keyed("key", F.col("got"))), lambda x: (x["pos"] > F.col("pos")) & enough(F.col("got"))(x))
+        stays = large.where("got >= need").select("rid", "close", F.xxhash64("key", F.lit("closed")).alias("key"), F.lit(-1).alias("pos"), "got")
+        rows = cut_lineage(large.select("rid", "close", F.inline(follows)).drop("rest").unionByName(stays))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return cut_lineage(out)
+
+
 def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of the forest: (a, b, votes)."""
     trees = sets.select("rid", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -307,6 +351,30 @@ def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")))
 
 
+def least_agreement(percent: int, hashes: int = TREES * DEPTH, risk: float = 1e-9) -> int:
+    """How many of ``hashes`` min-hashes two sets of a similarity of ``percent``
+    have in common but for a chance of at most ``risk``."""
+    p, below = percent / 100, 0.0
+    for n in range(hashes + 1):
+        below += math.comb(hashes, n) * p ** n * (1 - p) ** (hashes - n)
+        if below > risk:
+            return n
+    return hashes
+
+
+def _agreeing(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose signatures have enough hashes in common."""
+    mask = (1 << _BITS) - 1
+
+    def hashes(x, y):
+        both = x.bitwiseXOR(y)
+        return sum(((F.shiftrightunsigned(both, s).bitwiseAND(F.lit(mask)) == 0).cast("int") for s in (0, _BITS, 2 * _BITS)), F.lit(0))
+    agree = F.aggregate(F.zip_with("a_keys", "b_keys", hashes), F.lit(0), lambda s, x: s + x)
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("rid").alias(end), F.col("keys").alias(f"{end}_keys")), end)
+    return pairs.where(agree >= least_agreement(percent)).select("a", "b")
+
+
 def near_decisions(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, any others): doc_id,
     n_shingles, component_id, kept.
@@ -337,7 +405,8 @@ def near_decisions(docs: DataFrame, percent: int = 85) -> DataFrame:
     for end in ("a", "b"):
         r = roots.select(F.col("id").alias(end), F.col("root").alias(f"{end}_root"))
         left = left.join(r, end, "left")
-    left = cut_lineage(left.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"))
+    left = left.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    left = cut_lineage(_agreeing(left, sets, percent))
     roots = components(links.unionByName(linked(confirm(left, sets, texts))))
     rooted = cut_lineage(roots.join(sets.select(F.col("rid").alias("id"), "first", "digest"), "id").select("root", "first", "digest"))
     smallest = cut_lineage(rooted.groupBy("root").agg(F.min("first").alias("component_id")))

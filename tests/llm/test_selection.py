@@ -39,6 +39,18 @@ def near_rows(n_groups=12, seed=3):
     return list(enumerate(rows))
 
 
+def test_pairs_between_eighty_and_eighty_five_percent(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(30):  # one word of 52 changed: 43 of 53 shingles in common
+        base = words(rng, 52)
+        edited = list(base)
+        edited[20] = "changed"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited))]
+    at_80, at_85 = ({r.doc_id: r.component_id for r in near_decisions(frame(spark, rows), percent).collect()} for percent in (80, 85))
+    assert at_80 == {d: d - d % 2 for d, _ in rows} and at_85 == {d: d for d, _ in rows}
+
+
 def test_near_components_equal_brute_force(spark):
     rows = near_rows()
     got = {r.doc_id: r for r in near_decisions(frame(spark, rows)).collect()}
@@ -78,6 +90,49 @@ def test_linked_pairs_among_unlinked_texts_of_one_template(spark, monkeypatch):
     assert got == want
 
 
+def crowd(spark, nodes):
+    df = spark.createDataFrame(nodes, "crowd long, rid long, close boolean, need int, unlike array<long>")
+    return df.join(near_dedup._items(df.select("crowd", "rid", F.explode("unlike").alias("x"))), "rid").select("crowd", "rid", "close", "need", "items")
+
+
+def test_meetings_lose_no_pair_that_may_be_linked(spark, monkeypatch):
+    """Nodes with the differences they hold, rarest first: two that share as many as either needs meet under a key."""
+    monkeypatch.setattr(near_dedup, "SQUARE", 3)
+    rng = random.Random(11)
+    held = [sorted(rng.sample(range(14), rng.randint(1, 8))) for _ in range(120)]
+    nodes = [(7, i, False, rng.randint(1, len(h)), h) for i, h in enumerate(held)]
+    df = crowd(spark, nodes)
+    groups = {}
+    for r in near_dedup._meetings(df).collect():
+        groups.setdefault(r.key, set()).add(r.rid)
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    for i, (_, _, _, need, h) in enumerate(nodes):
+        for j in range(i + 1, 120):
+            if len(set(h) & set(held[j])) >= max(need, nodes[j][3]):
+                assert (i, j) in met
+
+
+def test_rows_of_a_template_grow_with_its_texts(spark, monkeypatch):
+    """Texts of one template with two edits from three words: what meets is linear in the texts."""
+    monkeypatch.setattr(near_dedup, "SQUARE", 16)
+    rows = {}
+    for n in (200, 800):
+        rng = random.Random(n)
+        edits = [[10 * p + rng.randrange(3) for p in rng.sample(range(60), 2)] for _ in range(n)]
+        # Ten differences an edit; a text needs twelve in common with any other.
+        df = crowd(spark, [(1, i, False, 12, sorted({x * 10 + k for x in e for k in range(10)})) for i, e in enumerate(edits)])
+        met = near_dedup._meetings(df)
+        rows[n] = met.select(F.sum(F.ceil(F.col("m") / near_dedup.SQUARE))).first()[0] or 0
+    assert rows[800] <= 6 * max(rows[200], 200)
+
+
+def test_least_agreement_keeps_linked_pairs():
+    import numpy as np
+    for percent in (80, 85):
+        least = near_dedup.least_agreement(percent)
+        assert (np.random.default_rng(1).binomial(120, percent / 100, 200_000) >= least).all() and least > 60
+
+
 def test_near_ties_repeats_nulls(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A B c d e f"), (None, "a b c d e f"), (None, None), (7, "")]
     got = sorted(map(tuple, near_decisions(frame(spark, rows)).collect()), key=str)
@@ -160,6 +215,35 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
         assert len({root(d) for d in group}) == 1
 
 
+def test_a_line_in_many_documents_of_a_large_host_goes(spark):
+    rng = random.Random(17)
+    body = lambda: " ".join(words(rng, 30))
+    rows = [(i, body() + ("\nAll rights reserved by us" if i < 40 else "") + ("\nYes. No." if i >= 550 else ""), "hot") for i in range(600)]
+    df = frame(spark, rows, "doc_id long, text string, source string")
+    lost = {r.doc_id for r in quality_decisions(df, max_docs=20).collect() if r.n_removed}
+    assert lost == set(range(1, 40)) and not any(r.n_removed for r in quality_decisions(df.where("doc_id < 500")).collect())
+    out = {r.doc_id: r.text for r in apply_quality_rules(df, max_docs=20).collect()}
+    assert len(out) == 600 and "rights" in out[0] and "rights" not in out[5]
+
+
+@pytest.mark.parametrize("edits,least", [((), 1.0), ((40, 80), 1.0), ((30, 60, 90), 0.95)])
+def test_edited_passages_are_found(spark, edits, least):
+    """Also where the whole stretch is not alike enough, but a part of it around the anchor is."""
+    rng = random.Random(len(edits))
+    strange = lambda n: [f"u{rng.randrange(10 ** 7)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        passage = strange(120)
+        edited = ["x" + w if k in edits else w for k, w in enumerate(passage)]
+        rows += [(2 * i, " ".join(strange(40) + passage + strange(40))), (2 * i + 1, " ".join(strange(40) + edited + strange(40)))]
+    got = [r for r in repeated_passages(frame(spark, rows)).collect()]
+    assert len({(r.doc_id, r.of_doc_id) for r in got if r.of_doc_id == r.doc_id - 1}) >= least * 60
+    texts = {d: t.split() for d, t in rows}
+    for r in got:
+        x, y = ({tuple(w[k:k + 5]) for k in range(a, b - 4)} for w, a, b in ((texts[r.doc_id], r.start, r.stop), (texts[r.of_doc_id], r.of_start, r.of_stop)))
+        assert abs(len(x & y) / len(x | y) - r.similarity) < 1e-9 and r.similarity >= 0.8 and min(r.stop - r.start, r.of_stop - r.of_start) >= 50
+
+
 def test_quality_rules_small(spark):
     common = "the very same line stands here"
     rows = []

@@ -2,8 +2,9 @@
 
 Everything is a Column expression or a DataFrame operation. Hashed lines are counted over the distinct texts of a host,
 so copies of one text count once. A line of more than ``max_share`` of a host's texts (and of at least ``min_docs``) is
-boilerplate and is removed, except from the first text that has it: no content is lost entirely. A document that loses
-so much that less than ``min_words`` words or ``min_left`` of its words stay is depleted and rejected.
+boilerplate, and so is a line of ``LINE_WORDS`` words or more in more than ``max_docs`` texts of a host, however large
+the host. It is removed, except from the first text that has it: no content is lost entirely. A document that loses so
+much that less than ``min_words`` words or ``min_left`` of its words stay is depleted and rejected.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from reportlens.session import cut_lineage
 
 MIN_WORDS, MAX_REPEATED, GRAM = 20, 30, 8
 MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.1, 10, 0.3
+MAX_DOCS, LINE_WORDS = 500, 3
 
 
 def _line_hash(line: Column) -> Column:
@@ -73,16 +75,17 @@ def document_features(docs: DataFrame, host: str = "source") -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def common_lines(features: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def common_lines(features: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_docs: int = MAX_DOCS) -> DataFrame:
     """Lines over the limit of their host: (host, h, first_digest), the last
     being the text that may keep the line."""
     text = ["host", "digest"]
     one = features.groupBy(*text).agg(F.min("doc_id").alias("doc_id"), F.first("lines").alias("lines"))
     size = one.groupBy("host").agg(F.count(F.lit(1)).alias("texts")).withColumnRenamed("host", "of")
-    bearers = one.select("host", "digest", "doc_id", F.explode(F.array_distinct("lines.h")).alias("h"))
-    counts = bearers.groupBy("host", "h").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest")).alias("first")).where(F.col("n") >= min_docs)
-    return (counts.join(size, F.col("host").eqNullSafe(F.col("of"))).where(F.col("n") > max_share * F.col("texts"))
+    bearers = one.select("host", "digest", "doc_id", F.explode(F.array_distinct("lines")).alias("line")).select("host", "digest", "doc_id", "line.*")
+    counts = bearers.groupBy("host", "h").agg(F.count(F.lit(1)).alias("texts_with"), F.max("n").alias("n_words"),
+                                              F.min(F.struct("doc_id", "digest")).alias("first")).where(F.col("texts_with") >= min_docs)
+    often = (F.col("texts_with") > max_docs) & (F.col("n_words") >= LINE_WORDS)
+    return (counts.join(size, F.col("host").eqNullSafe(F.col("of"))).where((F.col("texts_with") > max_share * F.col("texts")) | often)
             .select("host", "h", F.col("first.digest").alias("first_digest")))
 
 
@@ -99,7 +102,7 @@ def _removed(features: DataFrame, common: DataFrame) -> DataFrame:
 
 
 def quality_decisions(docs: DataFrame, host: str = "source", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                      min_left: float = MIN_LEFT) -> DataFrame:
+                      min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, n_removed (words in removed
     lines), kept, and host, digest, removed (hashes of removed lines).
@@ -108,7 +111,7 @@ def quality_decisions(docs: DataFrame, host: str = "source", max_share: float =
     Null hosts are one host. Repeated rows get the same verdict each.
     """
     features = cut_lineage(document_features(docs, host))
-    gone = _removed(features, cut_lineage(common_lines(features, max_share, min_docs)))
+    gone = _removed(features, cut_lineage(common_lines(features, max_share, min_docs, max_docs)))
     out = features.drop("lines").join(gone, F.col("host").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("whose")), "left")
     removed = F.coalesce("n_removed", F.lit(0))
     left = F.col("n_words") - removed

@@ -59,10 +59,10 @@ l2 AS (SELECT doc_id, source, text, line, len(regexp_extract_all(line, '[^\x20\x
        lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
        FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l2 GROUP BY 1),
-bearers AS (SELECT source, norm, count(DISTINCT text) AS n, min_by(text, doc_id) AS first FROM l2 GROUP BY 1, 2),
+bearers AS (SELECT source, norm, count(DISTINCT text) AS n, max(n) AS words, min_by(text, doc_id) AS first FROM l2 GROUP BY 1, 2),
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY 1),
 common AS (SELECT b.source, norm, first FROM bearers b JOIN hosts h ON b.source IS NOT DISTINCT FROM h.source
-           WHERE b.n >= 10 AND b.n > 0.1 * h.n),
+           WHERE b.n >= 10 AND (b.n > 0.1 * h.n OR (b.n > 500 AND b.words >= 3))),
 gone AS (SELECT doc_id, sum(n) AS n FROM l2 JOIN common c ON l2.norm = c.norm AND l2.text <> c.first
          AND l2.source IS NOT DISTINCT FROM c.source GROUP BY 1),
 f AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
@@ -133,7 +133,16 @@ def op5_compact_windows(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
-@_query("op12_suffix_dedup")
+@_query("op12_suffix_dedup", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, md5(b[i:i + 399]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d WHERE octet_length(b) >= 400)),
+t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+g AS (SELECT r, i, coalesce(i > max(i + 400) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS new FROM t),
+s AS (SELECT r, min(i) AS a, max(i) + 400 AS z FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM g) GROUP BY r, k),
+l AS (SELECT r, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM s GROUP BY 1),
+j AS (SELECT doc_id, b, octet_length(b) AS n, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(a, []) AS a, coalesce(z, []) AS z FROM d LEFT JOIN l USING (r))
+SELECT doc_id, n AS n_bytes, n_removed, n_spans,
+       sha256(list_reduce(list_transform(list_zip(list_prepend(1, z), list_append(a, n + 1)), lambda x: b[x[1]:x[2] - 1]), lambda x, y: x || y)) AS kept_sha256 FROM j""")
 def op12_suffix_dedup(spark, sf_dir):
     return removal_decisions(table(spark, sf_dir, "documents"))
 

@@ -27,7 +27,7 @@ def _rows(df: DataFrame, section: str, prefix=None) -> DataFrame:
     return long.select(F.lit(section).alias("section"), metric.alias("metric"), "value")
 
 
-def eda_report(df: DataFrame, lang: str = "en") -> DataFrame:
+def eda_report(df: DataFrame) -> DataFrame:
     """(section, metric, value) of a parsed first-source table.
 
     The texts are measured once into a narrow numeric table that is written to

@@ -224,11 +224,14 @@ def _squares(unit):
         key, rows = None, []
         for batch in batches:
             out = []
-            for *now, rid, over, close, held in zip(*(c.to_pylist() for c in batch.columns)):
+            # The differences stay in Arrow's buffer; as lists of Python numbers they would take ten times as much.
+            lists, plain = batch.column(6), [batch.column(k).to_pylist() for k in range(6)]
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for n, (*now, rid, over, close) in enumerate(zip(*plain)):
                 if now != key:
                     out += _forest_of(*zip(*rows), unit) if len(rows) > 1 else []
                     key, rows = now, []
-                rows.append((rid, over, close, np.array(held, np.int64)))
+                rows.append((rid, over, close, values[ends[n]:ends[n + 1]]))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])
         out = _forest_of(*zip(*rows), unit) if len(rows) > 1 else []
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])

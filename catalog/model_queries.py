@@ -234,7 +234,7 @@ def _(spark, sf):
        f"WITH {EN_FEATURES_SQL} SELECT uid, round(least(greatest(10 - 8 * F22_composite_severity - 2 * ln({unit_sql('uid')}), 0.1::DOUBLE), 20), 6) AS time, "
        "F25_is_abnormal::INTEGER AS event FROM feats")
 def _(spark, sf):
-    return survival.surrogate_survival(en_features(spark, sf)).select("uid", F.round("time", 6).alias("time"), "event")
+    return survival.surrogate_survival(en_features(spark, sf, ["uid", "F22_composite_severity", "F25_is_abnormal"])).select("uid", F.round("time", 6).alias("time"), "event")
 
 
 @query("sv2_cox_fit", _names_sql("TRUE AS stationary, TRUE AS is_exponential, TRUE AS converged", SURV_COLS))

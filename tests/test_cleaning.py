@@ -97,3 +97,26 @@ def test_row_features_run_on_a_stream(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("row_features").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("row_features").count() == 5
+
+
+def test_features_asked_for_are_the_same_and_write_no_texts(spark, monkeypatch):
+    texts = [(i, "normal", f"No acute disease. Large nodule {i} mm, may be edema" + " severe" * (i % 3), "Stable. Effusion" * (i % 2),
+              float(30 + i) if i % 4 else None, "M", "en") for i in range(9)]
+    d = spark.createDataFrame(texts, "uid int, mesh_major string, findings_clean string, impression_clean string, patient_age double, "
+                                     "patient_gender string, condition string")
+    for lexicon in (lx.EN, lx.FR):
+        full = features.engineer_features(d, lexicon)
+        names = [c for c in full.columns if c[0] == "F"]
+        want = {r["uid"]: r.asDict() for r in full.collect()}
+        written = []
+
+        def cut(df):
+            written.append(df.columns)
+            return df
+        monkeypatch.setattr(features, "cut_lineage", cut)
+        for name in names:
+            got = features.engineer_features(d, lexicon, columns=["uid", name])
+            assert got.columns == ["uid", name]
+            assert {r["uid"]: r[name] for r in got.collect()} == {u: r[name] for u, r in want.items()}
+        assert len(written) == 3 + (lexicon is lx.FR) and not {"text", "findings_clean"} & {c for cols in written for c in cols}
+        monkeypatch.undo()

@@ -33,7 +33,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document; its text is what the mix takes."""
+    """A row for each time the mix takes a document, in the order of the mix; its text is what the mix takes."""
     return apply_mix(docs)
 
 

@@ -127,14 +127,16 @@ def mix_decisions(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFra
     return taken.unionByName(none).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def apply_mix(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``: a row per document and
-    round of its tape. Where a source's target ends inside a document, its
-    text ends after the last word taken; ``n_chars``, if there is one, follows.
+def apply_mix(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFrame:
+    """The mixed corpus with the columns of ``docs``, in the order of the mix: a
+    row per document and round of its tape, at the slot of the block in which it
+    begins. Where a source's target ends inside a document, its text ends after
+    the last word taken; ``n_chars``, if there is one, follows.
     """
     targets = cut_lineage(source_targets(sizes_of(docs)))
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.struct("*").alias("row"))
-    taken = _takes(_placed(rows, targets, seed))
+    taken = _takes(_placed(rows, targets, seed)).withColumn("nth", F.floor(F.col("at") / block))
+    taken = taken.join(cut_lineage(_slots(targets, block)), ["s", "nth"]).orderBy("slot", "at")
     spaced = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     text = F.array_join(F.slice(spaced, F.lit(1), F.col("n").cast("int")), "")
     cut = F.col("row").withField("text", text)

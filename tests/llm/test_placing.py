@@ -128,6 +128,16 @@ def test_apply_mix_takes_what_was_decided(spark):
     assert apply_mix(docs.limit(0)).count() == 0 and mix_decisions(docs.limit(0)).count() == 0 and BLOCK > 0
 
 
+def test_apply_mix_deals_the_sources_by_the_schedule(spark, tmp_path):
+    rows = [(i, " ".join(["w"] * 100), "en", f"s{i % 3}", None) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [r.source for r in apply_mix(docs, block=50).collect()]
+    share = {r.source: r.target for r in source_targets(sizes_of(docs)).collect()}
+    for end in (len(got) // 10, len(got) // 3, len(got) // 2):  # every beginning of the mix holds the target shares
+        for s, t in share.items():
+            assert abs(got[:end].count(s) - t / sum(share.values()) * end) < 8
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_fullest_is_the_best_subset(seed):
     rng = random.Random(seed)

@@ -21,12 +21,23 @@ def sentence_rows(df: DataFrame, key: str, text: str, mode: str = "dot") -> Data
 
 
 def _tfidf_parts(sents: DataFrame, key: str, max_features: int | None) -> DataFrame:
-    """(key, pos, term, w): unit TF-IDF vectors with every sentence a document."""
-    s = sents.withColumn("_sid", F.struct(key, "pos")).withColumn("_terms", corpus.term_list("sentence"))
-    tf = corpus.term_frequencies(s, "_sid", "_terms")
-    vocab = corpus.vocabulary(tf, s.agg(F.count(F.lit(1))).scalar(), max_features=max_features)
-    w = corpus.weigh(tf, vocab, "_sid", max_features)
-    return w.select(F.col(f"_sid.{key}").alias(key), F.col("_sid.pos").alias("pos"), "term", F.col("weight").alias("w"))
+    """(key, pos, term, w), dealt by key: unit TF-IDF vectors with every sentence
+    a document. ``sents`` is dealt by key, so that counting needs no shuffle. The
+    most frequent terms, nearly all occurrences, are broadcast; the others are met
+    by term and come back as a map per key. ``term`` is a number."""
+    tf = sents.select(key, "pos", F.explode(corpus.term_list("sentence")).alias("term")).groupBy(key, "pos", "term").agg(F.count(F.lit(1)).alias("tf"))
+    vocab = corpus.vocabulary(tf, sents.agg(F.count(F.lit(1))).scalar(), max_features=max_features)
+    vocab = cut_lineage(vocab.select("term", F.struct(F.monotonically_increasing_id().alias("t"), "idf").alias("v")))
+    common = vocab if corpus.small(max_features) else vocab.orderBy("v.idf", "term").limit(corpus.BROADCAST_TERMS)
+    found = tf.join(F.broadcast(common), "term", "inner" if corpus.small(max_features) else "left")
+    if not corpus.small(max_features):
+        rare = tf.join(F.broadcast(common), "term", "left_anti").select(key, "term").distinct().join(vocab, "term")
+        rare = rare.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "v"))).alias("_rare"))
+        found = found.join(rare, key, "left").withColumn("v", F.coalesce("v", F.try_element_at("_rare", "term"))).drop("_rare")
+    w = F.col("tf") * F.col("v.idf")
+    length = F.sqrt(F.sum("w").over(Window.partitionBy(key, "pos")))
+    found = found.select(key, "pos", F.col("v.t").alias("term"), (w * w).alias("w"), w.alias("_w"))
+    return found.select(key, "pos", "term", (F.col("_w") / length).alias("w"))
 
 
 def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=None, max_features: int | None = None,
@@ -38,13 +49,12 @@ def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=Non
     over key, pos, sentence) puts in an array column ``vec``. All terms count
     unless ``max_features`` asks for the most frequent ones only.
     """
-    sents = sentence_rows(df, key, text, mode)
+    # All steps group inside a document: texts and vectors are dealt by key once.
+    sents = sentence_rows(df.select(key, text).repartition(F.col(key)), key, text, mode)
     if embed is None:
         parts = _tfidf_parts(sents, key, max_features)
     else:
-        parts = embed(sents).select(key, "pos", F.posexplode("vec").alias("term", "w"))
-    # All later steps group inside a document; one shuffle by key serves them.
-    parts = parts.repartition(F.col(key))
+        parts = embed(sents).select(key, "pos", F.posexplode("vec").alias("term", "w")).repartition(F.col(key))
     centroid = Window.partitionBy(key, "term")
     dots = parts.withColumn("_c", F.sum("w").over(centroid)).groupBy(key, "pos").agg(
         F.sum(F.col("w") * F.col("_c")).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -52,7 +62,9 @@ def extractive_summary(df: DataFrame, key: str, text: str, k: int = 2, embed=Non
     doc = Window.partitionBy(key)
     scored = dots.withColumn("_cn", F.sqrt(F.sum("dot").over(doc))).select(
         key, "pos", F.when((F.col("norm") > 0) & (F.col("_cn") > 0), F.round(F.col("dot") / (F.col("norm") * F.col("_cn")), 9)).alias("score"))
-    ranked = top_k_in_record(sents.join(scored, [key, "pos"], "left").fillna(0.0, subset=["score"]), key, "score", "pos", k)
+    scores = scored.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pos", "score"))).alias("_scores"))
+    found = sents.join(scores, key, "left").withColumn("score", F.coalesce(F.try_element_at("_scores", F.col("pos")), F.lit(0.0))).drop("_scores")
+    ranked = top_k_in_record(found, key, "score", "pos", k)
     chosen = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("s"))
     joined = chosen.select(key, F.concat(F.array_join(F.transform("s", lambda x: x["sentence"]), ". "), F.lit(".")).alias("summary"))
     return df.select(key).join(joined, key, "left").fillna("", subset=["summary"])

@@ -59,3 +59,14 @@ def test_user_callback(spark):
     d = spark.createDataFrame([(1, "one two three", "one two")], "id int, s string, r string")
     got = summaries.evaluate_summaries(d, "id", "s", "r", {"head": summaries.as_summariser(lambda t: " ".join(t.split()[:2]))}).first()
     assert got["model"] == "head" and got["rouge1_f"] == 1.0 and got["rougeL_f"] == 1.0
+
+
+def test_rare_terms_of_a_summary_are_met_by_term(spark, monkeypatch):
+    """Terms beyond the broadcast ones weigh the same; repeated keys count together."""
+    from reportlens.operators import corpus
+    rnd = random.Random(4)
+    rows = [(i % 25, ". ".join(" ".join(f"t{rnd.randrange(60)}" for _ in range(rnd.randrange(1, 9))) for _ in range(rnd.randrange(1, 7)))) for i in range(30)]
+    d = spark.createDataFrame(rows + [(77, ""), (78, None)], "k int, t string")
+    want = sorted(tuple(r) for r in summaries.extractive_summary(d, "k", "t").collect())
+    monkeypatch.setattr(corpus, "BROADCAST_TERMS", 5)
+    assert sorted(tuple(r) for r in summaries.extractive_summary(d, "k", "t").collect()) == want and len(want) == 32

@@ -80,3 +80,17 @@ def test_metrics_and_model_round_trip(spark, tmp_path):
     writers.save_model(rf, str(tmp_path / "m"))
     a = rf.transform(d).select("uid", "prediction").orderBy("uid").collect()
     assert a == writers.load_model(str(tmp_path / "m")).transform(d).select("uid", "prediction").orderBy("uid").collect()
+
+
+def test_xml_files_are_one_a_document_in_few_folders(spark, tmp_path):
+    from catalog.source_queries import xml_files
+    rows = [(i, f"line {i}\nand <more> & more" if i % 7 else None, "en", "web", i) for i in range(1, 201)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    path = xml_files(spark, str(tmp_path))
+    parsed = readers.scan_xml_reports(spark, path, keep_malformed=True, pattern="*.txt")
+    files = parsed.select("filename").count()
+    folders = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).selectExpr("regexp_replace(path, '/[^/]*$', '') AS f").distinct().count()
+    assert folders <= 64
+    # A null text makes a null document, an empty file, which is left out or malformed.
+    good = parsed.filter("not malformed")
+    assert sorted(int(r["uid"]) for r in good.select("uid").collect()) == [i for i in range(1, 201) if i % 7 and i % 50] and files <= 200

@@ -131,12 +131,22 @@ def apply_mix(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """The mixed corpus with the columns of ``docs``, in the order of the mix: a
     row per document and round of its tape, at the slot of the block in which it
     begins. Where a source's target ends inside a document, its text ends after
-    the last word taken; ``n_chars``, if there is one, follows.
+    the last word taken; ``n_chars``, if there is one, follows. Targets, places
+    and slots come from sizes and hashes of the rows; the texts move twice, to
+    their takes and into order.
     """
-    targets = cut_lineage(source_targets(sizes_of(docs)))
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.struct("*").alias("row"))
-    taken = _takes(_placed(rows, targets, seed)).withColumn("nth", F.floor(F.col("at") / block))
-    taken = taken.join(cut_lineage(_slots(targets, block)), ["s", "nth"]).orderBy("slot", "at")
+    # A null leaves a hash as it was, so the places of nulls are hashed, too.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    names = [F.xxhash64(F.lit(k), *columns, *(c.isNull() for c in columns)).alias(f"_h{k}") for k in (1, 2)]
+    sizes = cut_lineage(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *names))
+    targets = cut_lineage(source_targets(sizes))
+    taken = _takes(_placed(sizes, targets, seed)).withColumn("nth", F.floor(F.col("at") / block))
+    taken = cut_lineage(taken.join(cut_lineage(_slots(targets, block)), ["s", "nth"]).select("_h1", "_h2", "slot", "at", "size", "n"))
+    # Each text meets its takes once; rows alike in all columns are one text here, as any of them serves each take.
+    same = Window.partitionBy("_h1", "_h2").orderBy("_h1")
+    texts = docs.select(F.struct("*").alias("row"), *names)
+    texts = texts.withColumn("_again", F.lag(F.lit(True), 1, False).over(same)).where("not _again")
+    taken = texts.join(taken, ["_h1", "_h2"]).orderBy("slot", "at")
     spaced = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     text = F.array_join(F.slice(spaced, F.lit(1), F.col("n").cast("int")), "")
     cut = F.col("row").withField("text", text)

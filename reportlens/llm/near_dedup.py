@@ -8,10 +8,11 @@
    written as their differences from what most of them hold. Two nodes with few enough differences are linked whatever
    these are, and then also to the node with the fewest; any other linked pair has differences in common, and some among
    the rarest of both (prefix filter), so that only nodes that share rare differences are compared: one of them, or where
-   that leaves many nodes together two, three or four.
-4. Offered pairs are confirmed on the full sets, at first only each node's most often offered partner, then all offered
-   pairs between different components whose 120 hashes agree as often as those of linked pairs do (all but one in 10^9).
-   Links that lie inside a component need no confirmation.
+   that leaves many nodes together two, three or four. A node that needs many common differences meets only nodes that
+   hold as many. These links are counted on full sets, and no other pair inside a crowd is one.
+4. Other offered pairs are confirmed on the full sets, at first only each node's most often offered partner, then all
+   offered pairs between different components whose 120 hashes agree as often as those of linked pairs do (all but one in
+   10^9). Links that lie inside a component need no confirmation.
 
 At a similarity of 0.85 a pair shares 3 hashes in a tree with p = 0.61, so that all 20 trees miss it with p = 5e-9, and
 6 hashes with p = 0.38: where regions are divided, 20 trees miss one given pair with p = 8e-5. A pair whose nodes are in
@@ -238,12 +239,16 @@ def _squares(unit):
     return run
 
 
-def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all nodes of ``leaf`` (tree, hi, lo, rid) that links inside a crowd connect.
+def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect all nodes of ``leaf`` (tree, hi, lo, rid) that links inside a crowd connect, counted on
+    full sets; and the crowd (root) of each of its nodes (rid).
 
     With ``over`` = (100 + percent) * differences - (100 - percent) * shingles
     of a node, two nodes are linked exactly if the sum of their ``over`` is at
-    most 2 * (100 + percent) * their common differences.
+    most 2 * (100 + percent) * their common differences. Nodes that are not
+    close are dealt into classes by the differences they need, and meet the
+    nodes of their own and lower classes: in a class, a node needs what its
+    bottom needs, and stays away if it does not hold as many.
     """
     unit = 2 * (100 + percent)
     score = leaf.groupBy("rid").agg(F.count(F.lit(1)).alias("score"))
@@ -270,7 +275,13 @@ def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: in
     need = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("least")) / unit)).cast("int")
     nodes = cut_lineage(nodes.withColumn("need", need).where("size(unlike) >= need").select("crowd", "rid", "over", "close", "need", "unlike"))
     nodes = cut_lineage(nodes.join(_items(nodes.select("crowd", "rid", F.explode("unlike").alias("x"))), "rid").drop("unlike"))
-    met = _meetings(nodes.select("crowd", "rid", "close", "need", "items"))
+    nodes = nodes.withColumn("class", F.when(F.col("close"), 0).otherwise(1 + F.floor(F.log2("need"))).cast("int"))
+    bottoms = cut_lineage(nodes.where("not close").groupBy("crowd", "class").agg(F.min("over").alias("bottom")))
+    classes = nodes.withColumnRenamed("class", "own").join(bottoms, "crowd").where("own <= class").withColumn("top", F.expr("own = class"))
+    least_common = F.greatest(F.lit(1), F.ceil((F.col("over") + F.col("bottom")) / unit)).cast("int")
+    classes = classes.withColumn("need", F.when(F.col("top"), F.col("need")).otherwise(least_common)).where("size(held) >= need")
+    # Lower nodes need no meeting among each other here, just as close ones need none.
+    met = _meetings(cut_lineage(classes.select(F.xxhash64("crowd", "class").alias("crowd"), "rid", (~F.col("top")).alias("close"), "need", "items")))
     # Nodes of a key are dealt into parts; each two parts meet in a task of their own.
     parts = F.ceil(F.col("m") / SQUARE)
     rows = met.withColumn("part", F.pmod(F.xxhash64("rid"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -278,7 +289,7 @@ def _crowd_links(leaf: DataFrame, sets: DataFrame, texts: DataFrame, percent: in
     rows = rows.join(nodes.select("rid", "over", "close", "held"), "rid").select("key", "i", "j", "rid", "over", "close", "held")
     square = ["key", "i", "j"]
     links = rows.repartition(*square).sortWithinPartitions(*square).mapInArrow(_squares(unit), "a long, b long")
-    return cut_lineage(star.unionByName(links))
+    return cut_lineage(star.unionByName(links)), roots
 
 
 def _items(each: DataFrame) -> DataFrame:
@@ -297,8 +308,8 @@ def _items(each: DataFrame) -> DataFrame:
 
 def _meetings(nodes: DataFrame) -> DataFrame:
     """(key, rid, m): the groups, of m nodes each, in which every two nodes of
-    ``nodes`` (crowd, rid, close, need, items) meet that have as many
-    differences in common as both need.
+    a crowd of ``nodes`` (crowd, rid, close, need, items) meet, one of them not
+    close, that have as many differences in common as both need.
 
     A key is the first common item in the order of rarity, which must leave a
     node enough differences. A key of more than ``SQUARE`` nodes is lengthened
@@ -309,7 +320,7 @@ def _meetings(nodes: DataFrame) -> DataFrame:
         return lambda x, i: F.struct(F.xxhash64(of, x["s1"], x["s2"]).alias("key"), i.alias("pos"), (got + x["w"]).alias("got"), x["rest"].alias("rest"))
     enough = lambda got: lambda x: got + x["rest"] >= F.col("need")
     first = F.filter(F.transform("items", keyed("crowd", F.lit(0))), enough(F.lit(0)))
-    rows = nodes.select("rid", "close", F.inline(first)).drop("rest")
+    rows = nodes.select("crowd", "rid", "close", F.inline(first)).drop("rest")
     found = []
     for level in range(1, LEVELS + 1):
         size = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("close").alias("all_close"))
@@ -320,18 +331,18 @@ def _meetings(nodes: DataFrame) -> DataFrame:
         large = sized.where(~whole)
         if level == LEVELS or large.isEmpty():
             break
-        large = large.drop("m").join(nodes.select("rid", "need", "items"), "rid")
+        large = large.drop("m").join(nodes.select("crowd", "rid", "need", "items"), ["crowd", "rid"])
         follows = F.filter(F.transform("items", keyed("key", F.col("got"))), lambda x: (x["pos"] > F.col("pos")) & enough(F.col("got"))(x))
-        stays = large.where("got >= need").select("rid", "close", F.xxhash64("key", F.lit("closed")).alias("key"), F.lit(-1).alias("pos"), "got")
-        rows = cut_lineage(large.select("rid", "close", F.inline(follows)).drop("rest").unionByName(stays))
+        stays = large.where("got >= need").select("crowd", "rid", "close", F.xxhash64("key", F.lit("closed")).alias("key"), F.lit(-1).alias("pos"), "got")
+        rows = cut_lineage(large.select("crowd", "rid", "close", F.inline(follows)).drop("rest").unionByName(stays))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return cut_lineage(out)
 
 
-def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of the forest: (a, b, votes)."""
+def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of the forest, (a, b, votes), but for pairs inside a crowd; the links (a, b) of crowds."""
     trees = sets.select("rid", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select(F.col("tree").cast("long").alias("tree"), F.col("keys")[2 * F.col("tree")].alias("hi"),
                         F.col("keys")[2 * F.col("tree") + 1].alias("lo"), "rid")
@@ -348,10 +359,14 @@ def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     seams = cut.groupBy("tree", "hi").applyInPandas(joined, made)
     found = found.where("kind < 2").unionByName(seams)
     leaf = cut_lineage(found.where("kind = 1").select("tree", "hi", "lo", F.col("a").alias("rid")).distinct())
-    pairs = found.where("kind = 0").select("a", "b")
-    if not leaf.isEmpty():
-        pairs = pairs.unionByName(_crowd_links(leaf, sets, texts, percent))
-    return cut_lineage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")))
+    pairs = found.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    if leaf.isEmpty():
+        return cut_lineage(pairs), leaf.select(F.col("rid").alias("a"), F.col("rid").alias("b"))
+    links, crowds = _crowd_links(leaf, sets, texts, percent)
+    for end in ("a", "b"):
+        pairs = pairs.join(crowds.select(F.col("rid").alias(end), F.col("root").alias(f"{end}_crowd")), end, "left")
+    pairs = pairs.where("a_crowd is null or b_crowd is null or a_crowd <> b_crowd")
+    return cut_lineage(pairs.select("a", "b", "votes")), links
 
 
 def least_agreement(percent: int, hashes: int = TREES * DEPTH, risk: float = 1e-9) -> int:
@@ -394,7 +409,7 @@ def near_decisions(docs: DataFrame, percent: int = 85) -> DataFrame:
         F.min("doc_id").alias("first"), F.first("keys").alias("keys")))
     sets = cut_lineage(sets.withColumn("rid", F.monotonically_increasing_id()))
     texts = docs.select("doc_id", "text")
-    offers = _offers(sets, texts, percent)
+    offers, sure = _offers(sets, texts, percent)
 
     def linked(sizes):
         return sizes.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
@@ -402,7 +417,7 @@ def near_decisions(docs: DataFrame, percent: int = 85) -> DataFrame:
     ends = offers.select("a", "b", "votes").unionByName(offers.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes"))
     best = ends.groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
     best = cut_lineage(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = cut_lineage(linked(confirm(best, sets, texts)))
+    links = cut_lineage(linked(confirm(best, sets, texts)).unionByName(sure))
     roots = components(links)
     left = offers.join(best, ["a", "b"], "left_anti").select("a", "b")
     for end in ("a", "b"):

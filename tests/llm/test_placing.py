@@ -138,6 +138,21 @@ def test_apply_mix_deals_the_sources_by_the_schedule(spark, tmp_path):
             assert abs(got[:end].count(s) - t / sum(share.values()) * end) < 8
 
 
+def test_apply_mix_moves_its_texts_twice_and_keeps_repeated_rows(spark):
+    rows = [(i % 40, " ".join(["w"] * (i % 40)), "en", f"s{i % 2}", None) for i in range(120)]
+    rows += [(50, "one two", None, "s0", None), (50, "one two", "en", None, 7), (None, None, None, None, None), (None, "a b c", "en", "s1", 5)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    words, taken = {}, {}
+    got = apply_mix(docs)
+    for r in got.collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + len((r.text or "").split())
+    for r in mix_decisions(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    assert words == {d: n for d, n in taken.items() if n}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("Exchange rangepartitioning") == 1
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_fullest_is_the_best_subset(seed):
     rng = random.Random(seed)

@@ -90,6 +90,29 @@ def test_linked_pairs_among_unlinked_texts_of_one_template(spark, monkeypatch):
     assert got == want
 
 
+def test_outliers_of_a_crowd_meet_few_of_its_texts(spark, monkeypatch):
+    """A tight group, texts too far from it, and links among these: pairs inside a crowd are not read again, and a text
+    that needs many differences in common does not meet those that hold few."""
+    rng = random.Random(13)
+    base, texts = words(rng, 150, 5000), []
+    for i in range(300):
+        edited = list(base)
+        for p in rng.sample(range(150), rng.choice([1, 2, 2]) if i < 200 else 6):
+            edited[p] = f"e{rng.randrange(40)}"
+        texts.append(" ".join(edited))
+        if i >= 280:
+            texts.append(texts[-1] + " more")
+    rows = list(enumerate(texts))
+    want = near_components(rows)
+    assert len({c for _, c in want.values()}) > 40
+    met, read, meetings, confirm = [], [], near_dedup._meetings, near_dedup.confirm
+    monkeypatch.setattr(near_dedup, "CROWDED", 8)
+    monkeypatch.setattr(near_dedup, "_meetings", lambda nodes: (out := meetings(nodes), met.append(out.count()))[0])
+    monkeypatch.setattr(near_dedup, "confirm", lambda pairs, *a: (read.append(pairs.count()), confirm(pairs, *a))[1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_decisions(frame(spark, rows)).collect()}
+    assert got == want and sum(met) <= 4000 and sum(read) <= 200
+
+
 def crowd(spark, nodes):
     df = spark.createDataFrame(nodes, "crowd long, rid long, close boolean, need int, unlike array<long>")
     return df.join(near_dedup._items(df.select("crowd", "rid", F.explode("unlike").alias("x"))), "rid").select("crowd", "rid", "close", "need", "items")

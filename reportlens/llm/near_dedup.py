@@ -60,15 +60,10 @@ def _signatures(batches):
                 ["doc_id", "n_shingles", "digest", "keys"])
 
 
-def _all_pairs(rid, out):
-    i, j = np.triu_indices(len(rid), 1)
-    out.append((rid[i], rid[j]))
-
-
-def _descend(lo, rid, depth, pairs, leaves):
-    """Offer the pairs of a region; ``lo`` holds hashes 4 to 6, sorted."""
+def _descend(lo, rid, depth, pairs, wholes, leaves):
+    """Divide a region until it offers all its pairs; ``lo`` holds hashes 4 to 6, sorted."""
     if len(rid) <= CROWDED:
-        _all_pairs(rid, pairs)
+        wholes.append(rid)
     elif depth == DEPTH:
         leaves.append((lo, rid))
     else:
@@ -77,12 +72,13 @@ def _descend(lo, rid, depth, pairs, leaves):
             pairs.append((rid[cut - 1], rid[cut]))
         for a, b in zip(np.r_[0, cut], np.r_[cut, len(rid)]):
             if b - a > 1:
-                _descend(lo[a:b], rid[a:b], depth + 1, pairs, leaves)
+                _descend(lo[a:b], rid[a:b], depth + 1, pairs, wholes, leaves)
 
 
 def _regions(tree, hi, lo, rid, edges=None):
     """Offers of sorted rows: kind 0 a pair (a, b), kind 1 a node a of a crowded
-    leaf. With ``edges``, kind 2 are the rows beside the two ends, which may
+    leaf, kind 3 a node a of a region that offers all its pairs, b its first
+    node. With ``edges``, kind 2 are the rows beside the two ends, which may
     continue in the neighbouring partitions; b is the place in the order."""
     pairs, out = [], []
     cut = np.flatnonzero((np.diff(hi) != 0) | (np.diff(tree) != 0)) + 1
@@ -90,8 +86,11 @@ def _regions(tree, hi, lo, rid, edges=None):
     two = hi_at - lo_at == 2
     pairs.append((rid[lo_at[two]], rid[lo_at[two] + 1]))
     for a, b in zip(lo_at[hi_at - lo_at > 2], hi_at[hi_at - lo_at > 2]):
+        wholes: list = []
         leaves: list = []
-        _descend(lo[a:b], rid[a:b], SHALLOW, pairs, leaves)
+        _descend(lo[a:b], rid[a:b], SHALLOW, pairs, wholes, leaves)
+        for r in wholes:
+            out.append((3, r, *(np.full(len(r), x) for x in (r[0], tree[a], hi[a], 0))))
         for leaf, r in leaves:
             out.append((1, r, r, np.full(len(r), tree[a]), np.full(len(r), hi[a]), leaf))
     x, y = (np.concatenate(v) for v in zip(*pairs))
@@ -341,6 +340,21 @@ def _meetings(nodes: DataFrame) -> DataFrame:
     return cut_lineage(out)
 
 
+def _across(batches):
+    """The pairs of each region's nodes (rid, root) that are not of one crowd."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            lists, pairs = batch.column(0).slice(at, 500), [(np.empty(0, np.int64), np.empty(0, np.int64))]
+            rid, root = (f.to_numpy() for f in lists.flatten().flatten())
+            ends = np.cumsum(np.r_[0, lists.value_lengths().to_numpy()])
+            for lo, hi in zip(ends[:-1], ends[1:]):
+                i, j = np.triu_indices(hi - lo, 1)
+                apart = root[lo + i] != root[lo + j]
+                x, y = rid[lo + i[apart]], rid[lo + j[apart]]
+                pairs.append((np.minimum(x, y), np.maximum(x, y)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*pairs)], ["a", "b"])
+
+
 def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs of the forest, (a, b, votes), but for pairs inside a crowd; the links (a, b) of crowds."""
     trees = sets.select("rid", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -357,16 +371,22 @@ def _offers(sets: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame,
         return _regions(*(f[c].to_numpy() for c in ["tree", "hi", "lo", "rid"])).to_pandas()
 
     seams = cut.groupBy("tree", "hi").applyInPandas(joined, made)
-    found = found.where("kind < 2").unionByName(seams)
+    # A region of a seam may begin with the node that one of a partition begins with.
+    seams = seams.withColumn("tree", F.when(F.col("kind") == 3, F.col("tree") + TREES).otherwise(F.col("tree")))
+    found = found.where("kind <> 2").unionByName(seams)
     leaf = cut_lineage(found.where("kind = 1").select("tree", "hi", "lo", F.col("a").alias("rid")).distinct())
+    links, crowds = _crowd_links(leaf, sets, texts, percent) if not leaf.isEmpty() else (
+        leaf.select(F.col("rid").alias("a"), F.col("rid").alias("b")), leaf.select(F.col("rid").alias("root"), "rid"))
+    # Pairs inside a crowd are left out before they are made: a crowd of n nodes would offer up to n * CROWDED of them a tree.
+    nodes = found.where("kind = 3").select("tree", F.col("b").alias("region"), F.col("a").alias("rid"))
+    nodes = nodes.join(crowds.select("rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", -1 - F.col("rid")))
+    whole = nodes.groupBy("tree", "region").agg(F.collect_list(F.struct("rid", "root")).alias("nodes"))
     pairs = found.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
-    if leaf.isEmpty():
-        return cut_lineage(pairs), leaf.select(F.col("rid").alias("a"), F.col("rid").alias("b"))
-    links, crowds = _crowd_links(leaf, sets, texts, percent)
     for end in ("a", "b"):
         pairs = pairs.join(crowds.select(F.col("rid").alias(end), F.col("root").alias(f"{end}_crowd")), end, "left")
-    pairs = pairs.where("a_crowd is null or b_crowd is null or a_crowd <> b_crowd")
-    return cut_lineage(pairs.select("a", "b", "votes")), links
+    pairs = pairs.where("a_crowd is null or b_crowd is null or a_crowd <> b_crowd").select("a", "b", "votes")
+    pairs = pairs.unionByName(whole.select("nodes").mapInArrow(_across, "a long, b long").withColumn("votes", F.lit(1).cast("long")))
+    return cut_lineage(pairs.groupBy("a", "b").agg(F.sum("votes").alias("votes"))), links
 
 
 def least_agreement(percent: int, hashes: int = TREES * DEPTH, risk: float = 1e-9) -> int:

@@ -73,6 +73,29 @@ def test_crowded_regions_lose_no_link(spark, monkeypatch):
     assert got == near_components(rows)
 
 
+def test_regions_of_a_crowd_make_no_pairs(spark, monkeypatch):
+    """What the forest offers is in proportion to the texts, however many of them share a region; pairs inside a crowd are not made."""
+    rng = random.Random(6)
+    base, texts = words(rng, 120), []
+    for i in range(300):
+        edited = list(base)
+        for p in rng.sample(range(120), rng.choice([0, 1, 3])):
+            edited[p] = f"e{i}"
+        texts.append(" ".join(edited + ["end"] * (i % 2)))
+    rows = list(enumerate(texts)) + [(300 + i, " ".join(words(rng, 40))) for i in range(20)]
+    made, cut = [], near_dedup.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "kind" in df.columns or "votes" in df.columns:
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(near_dedup, "cut_lineage", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_decisions(frame(spark, rows).repartition(5)).collect()}
+    assert got == near_components(rows)
+    assert made and max(made) < 30 * len(rows)
+
+
 def test_linked_pairs_among_unlinked_texts_of_one_template(spark, monkeypatch):
     """All texts end in words of their own, any two are 0.848 alike; partners have two of these in common and are 0.861 alike."""
     rng = random.Random(8)

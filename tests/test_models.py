@@ -200,3 +200,25 @@ def test_cox_recovers_a_planted_effect(spark):
     assert abs(ridge["coef"][0]) < abs(fit["coef"][0])
     scored = survival.cox_risk(df, dict(zip(fit["cols"], fit["coef"])))
     assert survival.concordance(scored, "t", "e", "risk").first()["c_index"] > 0.65
+
+
+def test_text_classifier_takes_the_most_frequent_terms(spark):
+    """Bounds on rows, equal totals ordered by term, also where the bounds drop more terms than there are candidates at first."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(60):
+        words = [f"w{int(w)}" for w in rng.integers(0, 30, 12)] + ["all"] * 3 + (["twice"] * 20 if i < 2 else []) + ["yes" if i % 2 else "no"]
+        rows.append((i, float(i % 2), 1.0, words if i else []))
+    df = spark.createDataFrame(rows, "uid int, label double, class_weight double, terms array<string>").repartition(5)
+    total, held = {}, {}
+    for *_, words in rows:
+        for w in words:
+            total[w] = total.get(w, 0) + 1
+        for w in set(words):
+            held[w] = held.get(w, 0) + 1
+    for vocab in (1, 2, 10, 500):
+        want = sorted((w for w in total if 3 <= held[w] <= 0.95 * 60), key=lambda w: (-total[w], w))[:vocab]
+        model = models.text_classifier(60, vocab=vocab).fit(df)
+        assert list(model.stages[0].vocabulary) == want
+    got = model.transform(df.filter("uid > 0"))
+    assert got.filter("prediction = label").count() >= 55 and "terms" in got.columns

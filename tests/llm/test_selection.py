@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reportlens.llm import near_dedup
+from reportlens.llm import near_dedup, passage_dedup
 from reportlens.llm.components import components
 from reportlens.llm.exact_dedup import drop_exact_copies, exact_decisions
 from reportlens.llm.near_dedup import drop_near_copies, near_decisions
@@ -290,6 +290,21 @@ def test_edited_passages_are_found(spark, edits, least):
         assert abs(len(x & y) / len(x | y) - r.similarity) < 1e-9 and r.similarity >= 0.8 and min(r.stop - r.start, r.of_stop - r.of_start) >= 50
 
 
+@pytest.mark.parametrize("crowd", [256, 2])
+def test_passages_beside_partial_quotes_are_found(spark, monkeypatch, crowd):
+    """The smallest doc_ids hold 45 of 60 words, too few; two more share all of them."""
+    monkeypatch.setattr(passage_dedup, "CROWD", crowd, raising=False)
+    rng = random.Random(crowd)
+    strange = lambda n: [f"u{rng.randrange(10 ** 7)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        p = strange(60)
+        rows += [(10 * i + k, " ".join(strange(40) + q + strange(40))) for k, q in enumerate((p[:45], p[15:], p, p))]
+    got = {(r.doc_id, r.of_doc_id) for r in repeated_passages(frame(spark, rows)).collect()}
+    wanted = {(10 * i + 3, 10 * i + 2) for i in range(60)}
+    assert got <= wanted and len(got) >= 57
+
+
 def test_quality_rules_small(spark):
     common = "the very same line stands here"
     rows = []

@@ -34,7 +34,7 @@ from reportlens.llm.shingles import min_hashes, mix, multipliers, set_digest, sh
 from reportlens.session import cut_lineage
 
 travels_by_value(__name__)
-TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK, SQUARE, LEVELS = 20, 3, 6, 64, 5, 64, 256, 4
+TREES, SHALLOW, DEPTH, CROWDED, SHINGLE, BLOCK, SQUARE, LEVELS = 20, 3, 6, 64, 5, 64, 1024, 4
 _BITS = 21
 
 

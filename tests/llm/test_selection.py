@@ -172,6 +172,14 @@ def test_rows_of_a_template_grow_with_its_texts(spark, monkeypatch):
     assert rows[800] <= 6 * max(rows[200], 200)
 
 
+def test_rows_that_meet_do_not_jump_where_a_crowd_outgrows_a_key(spark):
+    """Copies of one text of 50 shingles with edits anywhere: a text meets under few keys, also if hundreds share each."""
+    rng = random.Random(3)
+    held = [sorted({x for p in rng.sample(range(46), rng.randint(1, 6)) for x in range(p, p + 5)}) for _ in range(1500)]
+    df = crowd(spark, [(1, i, False, max(1, len(h) // 2), h) for i, h in enumerate(held)])
+    assert near_dedup._meetings(df).count() <= 12 * 1500
+
+
 def test_least_agreement_keeps_linked_pairs():
     import numpy as np
     for percent in (80, 85):

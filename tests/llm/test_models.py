@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from reportlens.llm import url_filter
 from reportlens.llm.language_id import predict_languages
 from reportlens.llm.toxicity import label_model, toxicity_scores
 from reportlens.llm.url_filter import differences, judge_urls, stretch_counts
@@ -165,6 +167,21 @@ def test_url_repeated_rows_and_ties(spark):
     assert len(got) == 14 and len(set(got[10:13])) == 1 and got[13][0] in ("allow", "block")
 
 
+def test_url_joins_send_no_growing_table_through_the_driver(spark, monkeypatch):
+    """A written table of addresses is small beside the stretches made of it."""
+    plans, cut = [], url_filter.cut_lineage
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(url_filter, "cut_lineage", recorded)
+    urls = [f"http://{k}.{tld}/{way}/{k}" for k in range(40) for tld, way in (("org", "en"), ("com", "de"), ("net", "fr"))]
+    judged = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    plans.append(judged._jdf.queryExecution().executedPlan().toString())
+    assert judged.count() == 120 and sum("SortMergeJoin" in p for p in plans) >= 7
+    assert not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_url_model_learns_the_path(spark):
     rng = random.Random(6)
     host = lambda tld: "".join(rng.choice("abcdefg") for _ in range(6)) + tld

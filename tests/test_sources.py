@@ -94,3 +94,31 @@ def test_xml_files_are_one_a_document_in_few_folders(spark, tmp_path):
     # A null text makes a null document, an empty file, which is left out or malformed.
     good = parsed.filter("not malformed")
     assert sorted(int(r["uid"]) for r in good.select("uid").collect()) == [i for i in range(1, 201) if i % 7 and i % 50] and files <= 200
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k}.xml").write_text(f"<r><uId id='{k}'/></r>")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file a task
+    try:
+        d = readers.scan_xml_reports(spark, str(tmp_path))
+        assert d.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+        assert sorted(int(r["uid"]) for r in d.collect()) == list(range(40))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+
+
+def test_xml_files_are_whole_and_named_by_their_tasks(spark, tmp_path):
+    from catalog.source_queries import _file_writer
+    values = [None if k == 7 else f"<r>é{k}\n</r>" for k in range(50)]
+    d = spark.createDataFrame([(v,) for v in values], "value string").repartition(3)
+    (tmp_path / "1").mkdir()  # an attempt that was first
+    (tmp_path / "1" / "mark").write_text("")
+    d.mapInArrow(_file_writer(str(tmp_path), 8), "n long").collect()
+    at = d.rdd.glom().map(len).collect()
+    assert [len(list((tmp_path / str(k)).rglob("*.txt"))) for k in range(3)] == [at[0], 0, at[2]]
+    assert max(len(list(f.iterdir())) for f in (tmp_path / "0").iterdir()) <= 8
+    got = sorted(p.read_text() for k in (0, 2) for p in (tmp_path / str(k)).rglob("*.txt"))
+    want = sorted((r["value"] or "") + "\n" for k in (0, 2) for r in d.rdd.glom().collect()[k])
+    assert got == want

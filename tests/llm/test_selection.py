@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +314,25 @@ def test_passages_beside_partial_quotes_are_found(spark, monkeypatch, crowd):
     assert got <= wanted and len(got) >= 57
 
 
+def test_every_window_of_the_first_document_meets(spark):
+    """Document 1 has the hash in two places; document 2 quotes the second one, but meets the first."""
+    rng = random.Random(9)
+    strange = lambda n: [f"u{rng.randrange(10 ** 7)}" for _ in range(n)]
+    five, quoted = strange(5), strange(55)
+    quoted[25:25] = five
+    docs = frame(spark, [(1, " ".join(strange(50) + five + strange(100) + quoted + strange(50))), (2, " ".join(strange(50) + quoted + strange(50)))])
+    first, second, other = (50, 180, 75)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*[(7, d, x, c - 45, c, c + 45) for d, x, c in ((1, 1, first), (1, 2, second), (2, 3, other))])],
+                                       passage_dedup._WINDOW)
+    met = spark.createDataFrame([r for b in passage_dedup._meet([batch]) for r in zip(*(c.to_pylist() for c in b.columns))],
+                                "kind long, " + ", ".join(f"{c} long" for c in passage_dedup._PAIR))
+    found = spark.createDataFrame([], "doc_id long, of_doc_id long, start long, stop long, of_start long, of_stop long, similarity double")
+    rows = met.where("kind = 0").select(*passage_dedup._PAIR)
+    assert [(r.c, r.bc) for r in rows.collect()] == [(other, first)]
+    again = passage_dedup._left_out(rows, found, docs, met.where("kind = 2")).collect()
+    assert [(r.a, r.b, r.c, r.bc) for r in again] == [(2, 1, other, second)]
+
+
 def test_quality_rules_small(spark):
     common = "the very same line stands here"
     rows = []
